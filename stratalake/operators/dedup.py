@@ -24,11 +24,15 @@ def preference(policy: str) -> list[Column]:
     return [*[r.desc() for r in ranks], F.col("payload_hash").asc()]
 
 
-def keep_first(df: DataFrame, key: str, order: list[Column], n: int = 1) -> DataFrame:
-    """First ``n`` rows per key in the given order.
+def keep_first(
+    df: DataFrame, key: str, order: list[Column], n: int = 1, rank: str | None = None
+) -> DataFrame:
+    """First ``n`` rows per key in the given order, with their place in a column ``rank`` if named.
 
     ``row_number() <= n`` plans a WindowGroupLimit on both sides of the shuffle: each map task
     sends at most ``n`` rows per key, so a key holding most of the copies stays cheap.
     """
+    place = rank or "_rank"
     window = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= n).drop("_rank")
+    first = df.withColumn(place, F.row_number().over(window)).where(F.col(place) <= n)
+    return first if rank else first.drop(place)

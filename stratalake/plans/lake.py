@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +22,10 @@ class Lake:
     broadcasts a dimension only while its files are below the threshold.
     """
 
+    _open: ClassVar[dict[tuple[str, str], Lake]] = {}
+
     def __init__(self, spark: SparkSession, bronze: Callable[[], DataFrame]):
         self.spark = spark
-        self._bronze = bronze
         self._id = uuid.uuid4().hex[:12]
         self._root = fresh_path(spark, "lake")
         self._written: set[str] = set()
@@ -56,7 +58,11 @@ class Lake:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, folder: str) -> Lake:
-        return cls(spark, lambda: catalogue.bronze(spark, folder))
+        """The lake over the documents derived from the tables in a folder; one per session and folder."""
+        owner = (spark.sparkContext.applicationId, folder.rstrip("/"))
+        if owner not in cls._open:
+            cls._open[owner] = cls(spark, lambda: catalogue.bronze(spark, folder))
+        return cls._open[owner]
 
     def rebuilt(self) -> Lake:
         """Empty silver and gold over the same bronze."""

@@ -11,22 +11,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean
-from ..functions.parsing import CAST, CREW, MALFORMED, NAMED, flatten_movies, parse, present
+from ..functions.parsing import CREDITS_PAYLOAD, LOOKUP_PAYLOAD, MOVIE_PAYLOAD, present, read_payload, text
 from ..operators.dedup import keep_first, preference
 from ..schemas import DIRECTOR_JOB, LAST_TOP_BILLED_ORDER, MOVIE_ENDPOINTS, SILVER, conform
 from ..sources.tables import by_endpoint
 
 
 def parsed(bronze: DataFrame) -> DataFrame:
-    """Movie payloads as text columns under their table names, before any cleaning."""
-    flat = flatten_movies(by_endpoint(bronze, *MOVIE_ENDPOINTS))
-    return flat.withColumnsRenamed({"id": "movie_id", "adult": "is_adult"})
+    """Movie payloads as text columns and arrays under their table names, before any cleaning."""
+    fields = read_payload(
+        by_endpoint(bronze, *MOVIE_ENDPOINTS), MOVIE_PAYLOAD,
+        F.xxhash64("payload").alias("payload_hash"), "ingested_at", "source_endpoint",
+    )
+    return fields.withColumnsRenamed({"id": "movie_id", "adult": "is_adult"})
 
 
-def cleaned(text: DataFrame, adult_default: bool | None = None) -> DataFrame:
+def cleaned(fields: DataFrame, adult_default: bool | None = None) -> DataFrame:
     """Typed and cleaned columns, the completeness score, and the nested arrays; one row per document.
 
-    Malformed payloads and payloads without an id are left out (``quality.quarantine`` has them).
+    Payloads that are no JSON or have no id are left out (``quality.quarantine`` has them).
     """
     c = F.col
     movie_id = clean.long(c("movie_id"))
@@ -35,7 +38,7 @@ def cleaned(text: DataFrame, adult_default: bool | None = None) -> DataFrame:
     revenue = clean.sentinel_zero(clean.long(c("revenue")))
     runtime = clean.sentinel_zero(clean.integer(c("runtime")))
     votes = clean.integer(c("vote_count"))
-    return text.where(c(MALFORMED).isNull() & movie_id.isNotNull()).select(
+    return fields.where(movie_id.isNotNull()).select(
         movie_id.alias("movie_id"),
         clean.strip(c("title")).alias("title"),
         clean.strip(c("original_title")).alias("original_title"),
@@ -53,9 +56,9 @@ def cleaned(text: DataFrame, adult_default: bool | None = None) -> DataFrame:
         clean.presence_score(
             budget, revenue, runtime, c("genres"), c("production_companies"), c("spoken_languages")
         ).alias("completeness_score"),
-        _items("genres", lambda item: clean.long(item["id"])).alias("genre_ids"),
-        _items("production_companies", lambda item: item["name"]).alias("company_names"),
-        _items("spoken_languages", lambda item: item["name"]).alias("language_names"),
+        _items("genres", lambda item: clean.long(text(item, "id"))).alias("genre_ids"),
+        _items("production_companies", lambda item: text(item, "name")).alias("company_names"),
+        _items("spoken_languages", lambda item: text(item, "name")).alias("language_names"),
         "payload_hash",
         "ingested_at",
         "source_endpoint",
@@ -63,8 +66,8 @@ def cleaned(text: DataFrame, adult_default: bool | None = None) -> DataFrame:
 
 
 def _items(field: str, value) -> Column:
-    """Distinct values of one field of a nested array kept as JSON text; NULL elements are dropped."""
-    return F.array_distinct(F.transform(present(F.from_json(field, NAMED)), value))
+    """Distinct values of one field of a nested array; NULL elements are dropped."""
+    return F.array_distinct(F.transform(present(F.col(field)), value))
 
 
 def staged(bronze: DataFrame, adult_default: bool | None = None) -> DataFrame:
@@ -102,12 +105,12 @@ def movie_languages(stage: DataFrame) -> DataFrame:
 
 def genres(bronze: DataFrame) -> DataFrame:
     """Genre names by id; the latest lookup wins."""
-    items = by_endpoint(bronze, "genres").select(
-        "ingested_at",
-        F.explode(present(parse("payload", f"genres {NAMED}")["genres"])).alias("g"),
-    )
+    lookups = read_payload(by_endpoint(bronze, "genres"), LOOKUP_PAYLOAD, "ingested_at")
+    items = lookups.select("ingested_at", F.explode(present(F.col("genres"))).alias("g"))
     named = items.select(
-        clean.long(F.col("g.id")).alias("genre_id"), F.col("g.name").alias("genre_name"), "ingested_at"
+        clean.long(text(F.col("g"), "id")).alias("genre_id"),
+        text(F.col("g"), "name").alias("genre_name"),
+        "ingested_at",
     ).where("genre_id IS NOT NULL")
     latest = named.groupBy("genre_id").agg(
         F.max_by("genre_name", F.struct("ingested_at", "genre_name")).alias("genre_name")
@@ -117,25 +120,22 @@ def genres(bronze: DataFrame) -> DataFrame:
 
 def movie_cast(bronze: DataFrame) -> DataFrame:
     """Top-billed cast and directors, each distinct; both arrays are unfolded in one pass."""
-    credits = by_endpoint(bronze, "credits").select(
-        parse("payload", f"id STRING, cast {CAST}, crew {CREW}").alias("j")
-    )
+    credits = read_payload(by_endpoint(bronze, "credits"), CREDITS_PAYLOAD)
+    order = lambda p: clean.integer(text(p, "order"))
     billed = F.transform(
-        F.filter(
-            present(F.col("j.cast")), lambda p: clean.integer(p["order"]) <= LAST_TOP_BILLED_ORDER
-        ),
-        lambda p: _role(p["name"], "Cast", p["character"], clean.integer(p["order"])),
+        F.filter(present(F.col("cast")), lambda p: order(p) <= LAST_TOP_BILLED_ORDER),
+        lambda p: _role(text(p, "name"), "Cast", text(p, "character"), order(p)),
     )
     directors = F.transform(
-        F.filter(present(F.col("j.crew")), lambda p: p["job"] == DIRECTOR_JOB),
-        lambda p: _role(p["name"], "Director", F.lit(None).cast("string"), F.lit(None).cast("int")),
+        F.filter(present(F.col("crew")), lambda p: text(p, "job") == DIRECTOR_JOB),
+        lambda p: _role(text(p, "name"), "Director", F.lit(None).cast("string"), F.lit(None).cast("int")),
     )
     nobody = F.array().cast(
         "array<struct<person_name:string,role_type:string,character_name:string,cast_order:int>>"
     )
     people = F.concat(F.coalesce(billed, nobody), F.coalesce(directors, nobody))
     rows = credits.select(
-        clean.long(F.col("j.id")).alias("movie_id"), F.explode(people).alias("p")
+        clean.long(F.col("id")).alias("movie_id"), F.explode(people).alias("p")
     ).where("movie_id IS NOT NULL").select("movie_id", "p.*")
     return conform(rows.distinct(), SILVER["movie_cast"])
 

@@ -45,8 +45,8 @@ WITH scalars AS (
     try_cast(popularity AS DOUBLE) AS popularity,
     try_cast(adult AS BOOLEAN) AS is_adult,
     nullif(trim(BOTH :white_space FROM overview), '') IS NULL AS overview_is_empty,
-    CAST(genres IS NOT NULL AS INT) + CAST(production_companies IS NOT NULL AS INT)
-      + CAST(spoken_languages IS NOT NULL AS INT) AS arrays_present,
+    CASE WHEN genres LIKE '[%' THEN 1 ELSE 0 END + CASE WHEN production_companies LIKE '[%' THEN 1 ELSE 0 END
+      + CASE WHEN spoken_languages LIKE '[%' THEN 1 ELSE 0 END AS arrays_present,
     source_endpoint, ingested_at, payload_hash
   FROM scalars
 ), scored AS (

@@ -14,8 +14,21 @@ LAST_TOP_BILLED_ORDER = 4
 DIRECTOR_JOB = "Director"
 
 
+_TYPES = {
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "BOOLEAN": T.BooleanType(),
+    "STRING": T.StringType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Read ``name TYPE, ...`` without a session (``StructType.fromDDL`` needs one)."""
+    fields = (field.split() for field in spec.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 # Ids and surrogate keys are BIGINT: INT would overflow at the row counts this is built for.

@@ -158,7 +158,9 @@ def clean_sentinels(spark, folder):
 
 
 def clean_types(spark, folder):
-    text = silver.parsed(_lake(spark, folder).bronze).where("movie_id IS NOT NULL")
+    text = silver.parsed(_lake(spark, folder).bronze, ("id", "vote_count", "popularity", "adult")).where(
+        "movie_id IS NOT NULL"
+    )
     return text.select(
         clean.long(F.col("movie_id")).alias("movie_id"), "source_endpoint",
         clean.integer(F.col("vote_count")).alias("vote_count"),
@@ -288,7 +290,8 @@ def dim_movie(spark, folder):
 
 
 def fact_movie(spark, folder):
-    return gold.fact_movie(*_star(spark, folder, "keyed_movies", "dim_language"))
+    lake = _lake(spark, folder)
+    return gold.fact_movie(lake.keyed_movies, lake.gold("dim_language"))
 
 
 def bridge_movie_genre(spark, folder):

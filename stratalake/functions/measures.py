@@ -42,16 +42,12 @@ def avg_rating() -> Column:
 def movie_count() -> Column:
     """Number of movies where ``movie_key`` cannot repeat: on the fact, or within one genre.
 
-    There it equals the distinct count, without the shuffle on the key.
+    There it equals the distinct count, without the shuffle on the key. Filters on the bridge are
+    semi joins for the same reason: they never repeat a movie.
     """
     return F.count("movie_key").alias("movie_count")
 
 
-def distinct_movie_count() -> Column:
-    """Number of movies where bridge rows repeat the key."""
-    return F.count_distinct("movie_key").alias("movie_count")
-
-
 def hit_rate() -> Column:
     """Share of movies earning more than their budget, among those with both known."""
     return F.round(F.avg((F.col("revenue") > F.col("budget")).cast("int")), DIGITS).alias("hit_rate")

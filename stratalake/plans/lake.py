@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import cached_property
 from typing import ClassVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,10 +46,9 @@ class Lake:
             "gold.dim_language": (
                 lambda: gold.dim_language(self.silver("movies"), store), GOLD["dim_language"], ()),
             "gold.dim_genre": (lambda: gold.dim_genre(self.silver("genres"), store), GOLD["dim_genre"], ()),
-            "gold.keyed_movies": (lambda: gold.keyed_movies(self.silver("movies"), store), None, ()),
-            "gold.dim_movie": (lambda: gold.dim_movie(self.gold("keyed_movies")), GOLD["dim_movie"], ()),
+            "gold.dim_movie": (lambda: gold.dim_movie(self.keyed_movies), GOLD["dim_movie"], ()),
             "gold.fact_movie": (
-                lambda: gold.fact_movie(self.gold("keyed_movies"), self.gold("dim_language")),
+                lambda: gold.fact_movie(self.keyed_movies, self.gold("dim_language")),
                 GOLD["fact_movie"], ()),
             "gold.bridge_movie_genre": (
                 lambda: gold.bridge_movie_genre(
@@ -93,6 +93,11 @@ class Lake:
     def staged(self) -> DataFrame:
         return self.table("silver.staged")
 
+    @cached_property
+    def keyed_movies(self) -> DataFrame:
+        """Keys over rows that ``dense_key`` has stored; writing them as a table again would gain nothing."""
+        return gold.keyed_movies(self.silver("movies"), store)
+
     def silver(self, name: str) -> DataFrame:
         return self.table(f"silver.{name}")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import clean
 from ..operators.quantile import exact_quantiles
 from ..operators.reconcile import row_counts, union_all
-from ..schemas import MOVIE_ENDPOINTS, SILVER, TEXT_LIMITS
+from ..schemas import MOVIE_ENDPOINTS, TEXT_LIMITS
 from ..sources.tables import by_endpoint
 
 layer_counts = row_counts
@@ -189,7 +189,3 @@ def outliers(movies: DataFrame) -> DataFrame:
     )
     return flagged.where("odd_runtime OR below_budget")
 
-
-def not_null_columns(table: str) -> list[str]:
-    """Key columns of a silver table."""
-    return [name for name in SILVER[table].fieldNames() if name.endswith("_id")]

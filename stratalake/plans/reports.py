@@ -111,12 +111,6 @@ def genre_hit_rate(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame) ->
     )
 
 
-def genres_combined(fact: DataFrame, bridge: DataFrame, dim_genre: DataFrame, genres: list[str]) -> DataFrame:
-    """Figures over several genres taken together, a movie in two of them counted once."""
-    wanted = bridge.join(dim_genre.where(F.col("genre_name").isin(*genres)), "genre_key", "left_semi")
-    return _headline(fact.join(wanted, "movie_key", "left_semi"))
-
-
 def budget_revenue(fact: DataFrame) -> DataFrame:
     """Linear relationship of revenue to budget over the movies with both known."""
     budget, revenue = F.col("budget").cast("double"), F.col("revenue").cast("double")

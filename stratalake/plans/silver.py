@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import clean
 from ..functions.parsing import CREDITS_PAYLOAD, LOOKUP_PAYLOAD, MOVIE_PAYLOAD, present, read_payload, text
@@ -16,14 +17,20 @@ from ..operators.dedup import keep_first, preference
 from ..schemas import DIRECTOR_JOB, LAST_TOP_BILLED_ORDER, MOVIE_ENDPOINTS, SILVER, conform
 from ..sources.tables import by_endpoint
 
+MOVIE_PAYLOAD_FIELDS = tuple(MOVIE_PAYLOAD.fieldNames())
 
-def parsed(bronze: DataFrame) -> DataFrame:
-    """Movie payloads as text columns and arrays under their table names, before any cleaning."""
-    fields = read_payload(
-        by_endpoint(bronze, *MOVIE_ENDPOINTS), MOVIE_PAYLOAD,
+
+def parsed(bronze: DataFrame, fields: tuple[str, ...] = MOVIE_PAYLOAD_FIELDS) -> DataFrame:
+    """Movie payloads as text columns and arrays under their table names, before any cleaning.
+
+    Naming fewer fields lets the parser skip the others.
+    """
+    schema = T.StructType([f for f in MOVIE_PAYLOAD.fields if f.name in fields])
+    found = read_payload(
+        by_endpoint(bronze, *MOVIE_ENDPOINTS), schema,
         F.xxhash64("payload").alias("payload_hash"), "ingested_at", "source_endpoint",
     )
-    return fields.withColumnsRenamed({"id": "movie_id", "adult": "is_adult"})
+    return found.withColumnsRenamed({"id": "movie_id", "adult": "is_adult"})
 
 
 def cleaned(fields: DataFrame, adult_default: bool | None = None) -> DataFrame:

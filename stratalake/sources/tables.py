@@ -8,10 +8,6 @@ from pyspark.sql import types as T
 
 from ..schemas import conform
 
-# Columns that identify a landed document; the digest stands for its whole text.
-_DOCUMENT = ["source_endpoint", "movie_id", "digest"]
-
-
 def create_namespace(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
 
@@ -58,11 +54,13 @@ def by_endpoint(bronze: DataFrame, *endpoints: str) -> DataFrame:
 def unseen_documents(batch: DataFrame, landed: DataFrame) -> DataFrame:
     """Rows of a batch whose document has not landed yet, each once.
 
-    The key is the endpoint, the id (which may be NULL) and a SHA-256 of the payload, so only narrow
-    keys of the landed table are shuffled, and copies are folded on the map side on both sides.
+    A document is known by a SHA-256 over endpoint, id and payload. It is one column without NULLs,
+    so folding the copies (on the map side first) and the anti join share one shuffle of the batch;
+    of the landed table only digests move.
     """
-    digest = F.sha2(F.col("payload"), 256).alias("digest")
-    new = batch.select("*", digest).dropDuplicates(_DOCUMENT).alias("new")
-    known = landed.select("source_endpoint", "movie_id", digest).distinct().alias("known")
-    same = [F.col(f"new.{c}").eqNullSafe(F.col(f"known.{c}")) for c in _DOCUMENT]
-    return new.join(known, same, "left_anti").select(*batch.columns)
+    digest = F.sha2(
+        F.concat_ws("\n", "source_endpoint", F.coalesce(F.col("movie_id").cast("string"), F.lit("")), "payload"), 256
+    ).alias("digest")
+    new = batch.select("*", digest).dropDuplicates(["digest"])
+    known = landed.select(digest).distinct()
+    return new.join(known, "digest", "left_anti").select(*batch.columns)

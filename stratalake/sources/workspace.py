@@ -9,17 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+_own_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder; only a session that runs on this machine may fall back to a local one."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="stratalake-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    session = spark.sparkContext.applicationId
+    if session not in _own_folders:
+        _own_folders[session] = tempfile.mkdtemp(prefix="stratalake-")
+    return _own_folders[session]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -35,15 +35,16 @@ def dedup_profile(stage: DataFrame, movies: DataFrame) -> DataFrame:
     ])
 
 
-def _flags(df: DataFrame, checks: dict[str, Column], label: str, total: str) -> DataFrame:
-    """Count the rows meeting each condition in one pass, one output row per condition."""
-    counted = df.agg(*[F.count_if(condition).alias(name) for name, condition in checks.items()])
-    entries = F.array(*[F.struct(F.lit(n).alias(label), F.col(n).alias(total)) for n in checks])
+def _unpivot(counted: DataFrame, label: str, total: str) -> DataFrame:
+    """One output row per column of a one-row frame."""
+    entries = F.array(*[F.struct(F.lit(n).alias(label), F.col(n).alias(total)) for n in counted.columns])
     return counted.select(F.inline(entries))
 
 
 def _violations(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    return _flags(df, checks, "rule", "violations")
+    """Count the rows breaking each rule, all in one pass."""
+    counted = df.agg(*[F.count_if(condition).alias(name) for name, condition in checks.items()])
+    return _unpivot(counted, "rule", "violations")
 
 
 def _duplicates(df: DataFrame, key: list[str], rule: str) -> DataFrame:
@@ -112,7 +113,7 @@ def issue_log(bronze: DataFrame) -> DataFrame:
 
     Reads the payload as VARIANT, which still tells a number sent as text from a number.
     """
-    docs = by_endpoint(bronze, *MOVIE_ENDPOINTS).select(F.try_parse_json("payload").alias("doc"))
+    docs = _readable(bronze)
     get = lambda field: F.try_variant_get("doc", f"$.{field}", "string")
     as_text = lambda field: F.schema_of_variant(F.try_variant_get("doc", f"$.{field}", "variant")) == "STRING"
     array = lambda field: F.try_variant_get("doc", f"$.{field}", "array<variant>")
@@ -149,17 +150,28 @@ def issue_log(bronze: DataFrame) -> DataFrame:
         "unreadable_payload": c("doc").isNull(),
         "missing_id": c("doc").isNotNull() & c("movie_id").isNull(),
     }
-    repeats = (
-        fields.where(movie).groupBy("movie_id").agg(F.count("*").alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("occurrences"))
-        .select(F.lit("repeated_movie").alias("issue"), "occurrences")
+    # Counted per movie first, which also tells the repeats; both steps combine before their shuffle.
+    per_movie = fields.groupBy("movie_id").agg(
+        F.count("*").alias("n"), *[F.count_if(condition).alias(name) for name, condition in checks.items()]
+    )
+    repeats = F.when(movie, F.col("n") - 1).otherwise(F.lit(0))
+    totals = per_movie.agg(
+        *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in checks],
+        F.coalesce(F.sum(repeats), F.lit(0)).alias("repeated_movie"),
     )
-    return _flags(fields, checks, "issue", "occurrences").unionByName(repeats)
+    return _unpivot(totals, "issue", "occurrences")
+
+
+def _readable(bronze: DataFrame) -> DataFrame:
+    """Movie documents with their payload as VARIANT, NULL where it is no JSON. Made by a generator, so
+    that conditions on it do not parse it again."""
+    doc = F.explode(F.array(F.try_parse_json("payload"))).alias("doc")
+    return by_endpoint(bronze, *MOVIE_ENDPOINTS).select("source_endpoint", "ingested_at", "payload", doc)
 
 
 def quarantine(bronze: DataFrame) -> DataFrame:
     """Movie documents that never reach silver, with the reason."""
-    docs = by_endpoint(bronze, *MOVIE_ENDPOINTS).withColumn("doc", F.try_parse_json("payload"))
+    docs = _readable(bronze)
     movie_id = clean.long(F.try_variant_get("doc", "$.id", "string"))
     reason = F.when(F.col("doc").isNull(), "unreadable").when(movie_id.isNull(), "no movie id")
     return docs.withColumn("reason", reason).where("reason IS NOT NULL").select(

@@ -1,7 +1,7 @@
 """Silver a second time, as SQL text with other JSON functions, to reconcile against ``silver``.
 
 Scalars come from ``json_tuple``, arrays from VARIANT; nothing is shared with the DataFrame plans but
-the contract.
+the contract. The VARIANT is made by a lateral view, so that conditions on it do not parse it again.
 """
 
 from __future__ import annotations
@@ -64,7 +64,10 @@ FROM ranked WHERE place = 1
 
 _ITEMS = """
 SELECT DISTINCT try_cast(try_variant_get(d.doc, '$.id', 'string') AS BIGINT) AS movie_id, {value} AS {name}
-FROM (SELECT try_parse_json(payload) AS doc FROM {{bronze}} WHERE source_endpoint = 'details') d,
+FROM (
+    SELECT doc FROM {{bronze}} LATERAL VIEW explode(array(try_parse_json(payload))) parsed AS doc
+    WHERE source_endpoint = 'details'
+  ) d,
   LATERAL variant_explode(try_variant_get(d.doc, '$.{field}', 'variant')) item
 WHERE try_variant_get(d.doc, '$.id', 'string') IS NOT NULL AND NOT is_variant_null(item.value)
 """
@@ -74,7 +77,10 @@ SELECT genre_id, max_by(genre_name, struct(ingested_at, genre_name)) AS genre_na
 FROM (
   SELECT try_cast(try_variant_get(item.value, '$.id', 'string') AS BIGINT) AS genre_id,
     try_variant_get(item.value, '$.name', 'string') AS genre_name, d.ingested_at
-  FROM (SELECT try_parse_json(payload) AS doc, ingested_at FROM {bronze} WHERE source_endpoint = 'genres') d,
+  FROM (
+      SELECT doc, ingested_at FROM {bronze} LATERAL VIEW explode(array(try_parse_json(payload))) parsed AS doc
+      WHERE source_endpoint = 'genres'
+    ) d,
     LATERAL variant_explode(try_variant_get(d.doc, '$.genres', 'variant')) item
 )
 WHERE genre_id IS NOT NULL GROUP BY genre_id
@@ -82,7 +88,8 @@ WHERE genre_id IS NOT NULL GROUP BY genre_id
 
 _CAST = """
 WITH docs AS (
-  SELECT try_parse_json(payload) AS doc FROM {bronze} WHERE source_endpoint = 'credits'
+  SELECT doc FROM {bronze} LATERAL VIEW explode(array(try_parse_json(payload))) parsed AS doc
+  WHERE source_endpoint = 'credits'
 ), people AS (
   SELECT try_variant_get(d.doc, '$.id', 'string') AS id, 'Cast' AS role_type,
     try_variant_get(p.value, '$.name', 'string') AS person_name,

@@ -268,8 +268,8 @@ _STATEMENTS = {
           UNION ALL SELECT id, 'details' FROM (
             SELECT DISTINCT id, has_runtime, p_type, l_linenumber, l_tax > 0, s_name, s_nation FROM fetched)
           UNION ALL SELECT id, 'credits' FROM (
-            SELECT DISTINCT id, l_partkey, l_suppkey, l_linenumber, l_tax > 0, floor(l_quantity / 5),
-              l_returnflag = 'R', l_linestatus FROM fetched)
+            SELECT DISTINCT id, l_partkey, l_suppkey, CASE WHEN l_tax > 0 THEN l_linenumber END,
+              floor(l_quantity / 5), l_returnflag = 'R', l_linestatus FROM fetched)
           UNION ALL SELECT id, e FROM bare, (VALUES ('details'), ('credits')) v(e)
           UNION ALL SELECT NULL, 'genres' FROM lookups UNION ALL SELECT NULL, 'genres' FROM lookups
           UNION ALL SELECT NULL, 'details' FROM (SELECT DISTINCT html FROM pages)

@@ -182,21 +182,20 @@ def quarantine(bronze: DataFrame) -> DataFrame:
 def outliers(movies: DataFrame) -> DataFrame:
     """Movies flagged for a runtime outside the quartile fences or a revenue below the budget.
 
-    Flagged, not dropped. The fences are exact and come as scalar subqueries of the one-row bounds.
+    Flagged, not dropped. The exact fences are one struct in a scalar subquery, worked out once.
     """
     q = exact_quantiles(movies, "runtime", {"q1": 0.25, "q3": 0.75})
+    margin = 1.5 * (F.col("q3") - F.col("q1"))
     fences = q.select(
-        (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("low"),
-        (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("high"),
-    )
-    low, high = fences.select("low").scalar(), fences.select("high").scalar()
+        F.struct((F.col("q1") - margin).alias("low"), (F.col("q3") + margin).alias("high"))
+    ).scalar()
     runtime = F.col("runtime")
     flagged = movies.select(
         "movie_id",
         "runtime",
         "budget",
         "revenue",
-        F.coalesce((runtime < low) | (runtime > high), F.lit(False)).alias("odd_runtime"),
+        F.coalesce(~runtime.between(fences["low"], fences["high"]), F.lit(False)).alias("odd_runtime"),
         F.coalesce(F.col("revenue") < F.col("budget"), F.lit(False)).alias("below_budget"),
     )
     return flagged.where("odd_runtime OR below_budget")

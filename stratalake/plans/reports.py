@@ -143,14 +143,14 @@ def top_roi(fact: DataFrame, dim_movie: DataFrame, n: int = DEFAULT_TOP) -> Data
     best = _top(fact.where("roi IS NOT NULL"), F.desc("roi"), n)
     return _titled(best, dim_movie).select("movie_id", "title", "budget", "revenue", "roi").orderBy(
         F.desc("roi"), "movie_id"
-    )
+    ).limit(n)
 
 
 def bottom_roi(fact: DataFrame, dim_movie: DataFrame, n: int = DEFAULT_TOP) -> DataFrame:
     worst = _top(fact.where("roi IS NOT NULL"), F.asc("roi"), n)
     return _titled(worst, dim_movie).select("movie_id", "title", "budget", "revenue", "roi").orderBy(
         "roi", "movie_id"
-    )
+    ).limit(n)
 
 
 def top_rated(
@@ -160,7 +160,7 @@ def top_rated(
     rated = fact.where((F.col("vote_count") >= min_votes) & F.col("vote_average").isNotNull())
     return _titled(_top(rated, F.desc("vote_average"), n), dim_movie).select(
         "movie_id", "title", "vote_average", "vote_count"
-    ).orderBy(F.desc("vote_average"), "movie_id")
+    ).orderBy(F.desc("vote_average"), "movie_id").limit(n)
 
 
 def top_studios(studios: DataFrame, by: str = "total_revenue", n: int = DEFAULT_TOP) -> DataFrame:

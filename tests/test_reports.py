@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from conftest import rows_of
+
+from stratalake.functions import measures
+from stratalake.plans import quality, reports
+from stratalake.schemas import GOLD, SILVER
+
+
+@pytest.fixture
+def star(spark):
+    """A small star: facts as dicts by movie key, genres by movie key."""
+
+    def make(facts, genres=(), names=("x", "y", "z")):
+        columns = GOLD["fact_movie"].fieldNames()
+        blank = dict.fromkeys(columns)
+        fact = spark.createDataFrame([tuple((blank | f)[c] for c in columns) for f in facts], GOLD["fact_movie"])
+        years = sorted({f["date_key"] // 10000 for f in facts if f.get("date_key")})
+        days = spark.createDataFrame(
+            [(y * 10000 + 101, date(y, 1, 1), y, 1, 1, "January") for y in years], GOLD["dim_date"])
+        dim_genre = spark.createDataFrame([(i + 1, i + 100, n) for i, n in enumerate(names)], GOLD["dim_genre"])
+        bridge = spark.createDataFrame(list(genres), GOLD["bridge_movie_genre"])
+        dim_movie = spark.createDataFrame(
+            [(f["movie_key"], f["movie_key"] + 1000, f"t{f['movie_key']}", *[None] * 7) for f in facts],
+            GOLD["dim_movie"])
+        return fact, days, bridge, dim_genre, dim_movie
+
+    return make
+
+
+def _f(key, year=None, **values):
+    budget, revenue = values.get("budget"), values.get("revenue")
+    if budget is not None and revenue is not None:
+        values |= {"profit": revenue - budget, "roi": (revenue - budget) / budget}
+    return {"movie_key": key, "date_key": year * 10000 + 101 if year else None, **values}
+
+
+@pytest.mark.parametrize(
+    ("pairs", "total", "known"),
+    [([(4, 10), (None, 6), (8, None)], 4, 6), ([(None, 6)], 6, None), ([(8, None)], -8, None), ([(None, None)], None, None)],
+)
+def test_total_profit_is_no_sum_of_profits(star, pairs, total, known):
+    fact, *_ = star([_f(i, budget=b, revenue=r) for i, (b, r) in enumerate(pairs)])
+    assert rows_of(fact.agg(measures.total_profit(), measures.known_profit())) == [(total, known)]
+
+
+def test_unknown_revenue_counts_as_movie_but_not_as_zero(star):
+    fact, *_ = star([_f(1, revenue=10, vote_average=4.0), _f(2), _f(3, revenue=20)])
+    assert rows_of(fact.agg(measures.total_revenue(), measures.movie_count(), measures.avg_rating())) == [(30, 3, 4.0)]
+
+
+def test_avg_roi_is_a_mean_of_ratios(star):
+    fact, *_ = star([_f(1, budget=1, revenue=3), _f(2, budget=100, revenue=100)])
+    assert rows_of(fact.agg(measures.avg_roi())) == [(1.0,)]
+
+
+def test_growth_is_against_the_calendar_year_before(star):
+    fact, days, *_ = star([_f(1, 2018, revenue=10), _f(2, 2019, revenue=15), _f(3, 2021, revenue=30), _f(4, revenue=99)])
+    got = rows_of(reports.revenue_yoy(fact, days), "calendar_year", "previous_revenue", "revenue_yoy")
+    assert got == [(2018, None, None), (2019, 10, 0.5), (2021, None, None)]
+
+
+def test_slicers_count_a_movie_once(star):
+    facts = [_f(1, 2018, revenue=10), _f(2, 2019, revenue=5), _f(3, 2019, revenue=7)]
+    fact, days, bridge, dim_genre, _ = star(facts, [(1, 1), (1, 2), (2, 2), (3, 3)])
+    head = lambda *a: rows_of(reports.overview_sliced(fact, days, bridge, dim_genre, *a), "movie_count", "total_revenue")
+    assert head() == [(3, 22)]
+    assert head(None, ["x", "y"]) == [(2, 15)]
+    assert head((2019, 2019), ["x", "y"]) == [(1, 5)]
+    assert head((2019, 2030), None) == [(2, 12)]
+
+
+def test_genre_rows_do_not_add_up(star):
+    fact, _, bridge, dim_genre, _ = star([_f(1, revenue=10), _f(2, revenue=1)], [(1, 1), (1, 2), (2, 2)])
+    got = rows_of(reports.genre_performance(fact, bridge, dim_genre), "genre_name", "total_revenue", "movie_count")
+    assert got == [("x", 10, 1), ("y", 11, 2)]
+
+
+def test_drill_through(star):
+    facts = [_f(1, 2018, revenue=10), _f(2, 2018, revenue=5), _f(3, 2019, revenue=7)]
+    got = reports.drill_through(*star(facts, [(1, 1), (2, 2), (3, 1)]), "x", 2018)
+    assert rows_of(got, "movie_id", "title") == [(1001, "t1")]
+
+
+def test_top_lists(star):
+    facts = [_f(1, budget=1, revenue=5, vote_average=9.9, vote_count=3), _f(2, budget=1, revenue=9),
+             _f(3, budget=2, revenue=1, vote_average=7.0, vote_count=50),
+             _f(4, revenue=50, vote_average=7.0, vote_count=10)]
+    fact, *_, dim_movie = star(facts)
+    ids = lambda df: [r.movie_id for r in df.collect()]
+    assert ids(reports.top_roi(fact, dim_movie, 2)) == [1002, 1001]
+    assert ids(reports.bottom_roi(fact, dim_movie, 1)) == [1003]
+    assert ids(reports.top_rated(fact, dim_movie)) == [1003, 1004]
+
+
+def test_top_movies_per_genre(star):
+    facts = [_f(i, revenue=r) for i, r in enumerate([5, 9, 9, None, 1])]
+    star_tables = star(facts, [(i, 1) for i in range(5)] + [(3, 2), (4, 3)])
+    fact, _, bridge, dim_genre, dim_movie = star_tables
+    got = rows_of(reports.top_movies_per_genre(fact, bridge, dim_genre, dim_movie, 2), "genre_name", "place", "movie_id")
+    assert got == [("x", 1, 1001), ("x", 2, 1002), ("z", 1, 1004)]
+
+
+def test_explorer_lists_genres_and_sorts_unknown_last(star):
+    facts = [_f(1, revenue=5), _f(2), _f(3, revenue=9)]
+    fact, _, bridge, dim_genre, dim_movie = star(facts, [(1, 2), (1, 1)])
+    got = reports.movie_explorer(fact, dim_movie, bridge, dim_genre).select("movie_id", "genres").collect()
+    assert [tuple(r) for r in got] == [(1003, None), (1001, "x, y"), (1002, None)]
+
+
+def test_hit_rate_needs_both_sides(star):
+    facts = [_f(1, budget=1, revenue=5), _f(2, budget=9, revenue=5), _f(3, revenue=5)]
+    fact, _, bridge, dim_genre, _ = star(facts, [(1, 1), (2, 1), (3, 1)])
+    assert rows_of(reports.genre_hit_rate(fact, bridge, dim_genre), "hit_rate", "movie_count") == [(0.5, 2)]
+
+
+def test_budget_and_revenue_pairs(star):
+    facts = [_f(i, budget=i, revenue=3 * i) for i in (1, 2, 5)] + [_f(9, revenue=100)]
+    fact, *_ = star(facts)
+    assert rows_of(reports.budget_revenue(fact)) == [(1.0, 3.0, 1.0, 3)]
+
+
+def test_quality_rules_find_planted_faults(spark, star):
+    fact, days, bridge, dim_genre, dim_movie = star(
+        [_f(1, 2018, budget=1, revenue=2) | {"roi": None}, _f(2), _f(2)], [(1, 1), (1, 1), (8, 9)])
+    movies = spark.createDataFrame(
+        [(1, "t" * 501, None, "EN", None, None, 0, 0, 0, 5.0, 0, None, None, True, None),
+         (1, None, None, None, None, None, 3, None, None, None, 0, None, None, True, None)], SILVER["movies"])
+    silver = {
+        "movies": movies,
+        "genres": spark.createDataFrame([(1, "a"), (1, "b")], SILVER["genres"]),
+        "movie_genres": spark.createDataFrame([(1, 1), (5, 7), (5, 7)], SILVER["movie_genres"]),
+        "movie_companies": spark.createDataFrame([(1, "c"), (6, "c")], SILVER["movie_companies"]),
+        "movie_cast": spark.createDataFrame([(1, "p" * 201, "Cast", None, 1)], SILVER["movie_cast"]),
+    }
+    gold = {"fact_movie": fact, "dim_date": days, "bridge_movie_genre": bridge, "dim_genre": dim_genre,
+            "dim_movie": dim_movie, "dim_language": spark.createDataFrame([], GOLD["dim_language"])}
+    found = {r.rule: r.violations for r in quality.report(silver, gold).collect() if r.violations}
+    assert found == {
+        "movies_zero_budget": 1, "movies_zero_revenue": 1, "movies_zero_runtime": 1,
+        "movies_rating_without_votes": 1, "movies_duplicate_id": 1, "movies_title_too_long": 1,
+        "genres_duplicate_id": 1, "fact_duplicate_key": 1, "dim_movie_duplicate_key": 1,
+        "fact_roi_not_null_safe": 1, "bridge_duplicate_pair": 1, "bridge_movie_unknown": 1,
+        "bridge_genre_unknown": 1, "silver_genre_of_unknown_movie": 2, "silver_genre_unknown": 2,
+        "silver_company_of_unknown_movie": 1, "movie_cast_person_name_too_long": 1,
+    }
+
+
+def test_quarantine_and_issue_log(bronze):
+    rows = bronze(
+        ("details", "<html>"), ("trending", {"k": 1}), ("details", {"id": "x"}),
+        ("details", {"id": 1, "budget": 0, "runtime": "90", "release_date": "", "vote_count": 0, "vote_average": 5}),
+        ("discover", {"id": 1, "title": " t", "original_language": "en", "overview": "o", "release_date": "soon"}),
+        ("credits", {"id": 1}),
+    )
+    assert rows_of(quality.quarantine(rows), "source_endpoint", "reason") == [
+        ("details", "no movie id"), ("details", "unreadable"), ("trending", "no movie id")]
+    found = {r.issue: r.occurrences for r in quality.issue_log(rows).collect() if r.occurrences}
+    assert found == {
+        "zero_budget": 1, "missing_date": 1, "invalid_date": 1, "number_as_text": 1, "rating_without_votes": 1,
+        "untrimmed_title": 1, "unclean_language": 1, "empty_overview": 1, "unreadable_payload": 1, "missing_id": 2,
+        "repeated_movie": 1,
+    }
+
+
+def test_outliers(spark):
+    values = [(i, 90 + i % 5, 10, 20) for i in range(40)] + [(98, 900, 1, 2), (99, None, 5, 1), (97, None, None, 1)]
+    blank = [None] * 15
+    rows = []
+    for movie_id, runtime, budget, revenue in values:
+        row = list(blank)
+        row[0], row[6], row[7], row[8] = movie_id, budget, revenue, runtime
+        rows.append(tuple(row))
+    movies = spark.createDataFrame(rows, SILVER["movies"])
+    assert rows_of(quality.outliers(movies), "movie_id", "odd_runtime", "below_budget") == [
+        (98, True, False), (99, False, True)]

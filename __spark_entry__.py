@@ -28,7 +28,7 @@ from stratalake.sources.workspace import fresh_path, store
 from stratalake.streaming.landing import land_new_files
 
 BATCH = datetime(2024, 6, 1)
-LANDED = "*.txt"  # what the text writer names its files
+LANDED = documents.SAVED_PATTERN
 DRILL_GENRE, DRILL_YEAR = "MEDIUM", 1998
 SLICE_YEARS, SLICE_GENRES = (1996, 1999), ["ECONOMY", "PROMO"]
 
@@ -44,7 +44,7 @@ def _landing_folder(spark: SparkSession, folder: str) -> str:
     key = (spark.sparkContext.applicationId, folder)
     if key not in _landed:
         path = fresh_path(spark, "responses")
-        catalogue.responses(spark, folder).write.partitionBy("source_endpoint").text(path)
+        documents.save_responses(catalogue.responses(spark, folder), path)
         _landed[key] = path
     return _landed[key]
 
@@ -149,41 +149,65 @@ def silver_parsed(spark, folder):
     )
 
 
-def _cleaned(spark, folder, *columns):
-    return silver.staged(_lake(spark, folder).bronze).select("movie_id", "source_endpoint", *columns)
+def _fields(spark, folder, *names):
+    """Movie documents with just the named payload fields read."""
+    return silver.parsed(_lake(spark, folder).bronze, ("id", *names)).where("movie_id IS NOT NULL")
+
+
+def _cleaned(fields, **rules):
+    return fields.select(
+        clean.long(F.col("movie_id")).alias("movie_id"), "source_endpoint",
+        *[rule.alias(name) for name, rule in rules.items()],
+    )
 
 
 def clean_sentinels(spark, folder):
-    return _cleaned(spark, folder, "budget", "revenue", "runtime")
+    return _cleaned(
+        _fields(spark, folder, "budget", "revenue", "runtime"),
+        budget=clean.sentinel_zero(clean.long(F.col("budget"))),
+        revenue=clean.sentinel_zero(clean.long(F.col("revenue"))),
+        runtime=clean.sentinel_zero(clean.integer(F.col("runtime"))),
+    )
 
 
 def clean_types(spark, folder):
-    text = silver.parsed(_lake(spark, folder).bronze, ("id", "vote_count", "popularity", "adult")).where(
-        "movie_id IS NOT NULL"
-    )
-    return text.select(
-        clean.long(F.col("movie_id")).alias("movie_id"), "source_endpoint",
-        clean.integer(F.col("vote_count")).alias("vote_count"),
-        clean.double(F.col("popularity")).alias("popularity"),
-        clean.boolean(F.col("is_adult")).alias("is_adult"),
-        clean.boolean(F.col("is_adult"), default=False).alias("is_adult_or_false"),
+    return _cleaned(
+        _fields(spark, folder, "vote_count", "popularity", "adult"),
+        vote_count=clean.integer(F.col("vote_count")),
+        popularity=clean.double(F.col("popularity")),
+        is_adult=clean.boolean(F.col("is_adult")),
+        is_adult_or_false=clean.boolean(F.col("is_adult"), default=False),
     )
 
 
 def clean_dates(spark, folder):
-    return _cleaned(spark, folder, "release_date", "release_year")
+    released = clean.date(F.col("release_date"))
+    return _cleaned(
+        _fields(spark, folder, "release_date"), release_date=released, release_year=F.year(released)
+    )
 
 
 def clean_ratings(spark, folder):
-    return _cleaned(spark, folder, "vote_average", "vote_count")
+    votes = clean.integer(F.col("vote_count"))
+    return _cleaned(
+        _fields(spark, folder, "vote_average", "vote_count"),
+        vote_average=clean.rating(clean.double(F.col("vote_average")), votes),
+        vote_count=votes,
+    )
 
 
 def clean_text(spark, folder):
-    return _cleaned(spark, folder, "title", "original_title", "original_language", "overview_is_empty")
+    return _cleaned(
+        _fields(spark, folder, "title", "original_title", "original_language", "overview"),
+        title=clean.strip(F.col("title")),
+        original_title=clean.strip(F.col("original_title")),
+        original_language=clean.code(F.col("original_language")),
+        overview_is_empty=clean.is_blank(F.col("overview")),
+    )
 
 
 def completeness_score(spark, folder):
-    return _cleaned(spark, folder, "completeness_score")
+    return silver.staged(_lake(spark, folder).bronze).select("movie_id", "source_endpoint", "completeness_score")
 
 
 def silver_movies(spark, folder):

@@ -51,7 +51,7 @@ WITH base AS (
   UNION ALL SELECT id, 'popular', TIMESTAMP '2024-01-03 00:00:00' FROM base WHERE is_popular
   UNION ALL SELECT id, 'trending', TIMESTAMP '2024-01-04 00:00:00' FROM base WHERE is_trending
 ), lookups AS (
-  SELECT DISTINCT p_type FROM part
+  SELECT p_type FROM part
 ), raw_movies AS (
   SELECT id AS movie_id, source_endpoint, ingested_at FROM listed
   UNION ALL SELECT id, 'details', fetched_at FROM fetches
@@ -92,7 +92,7 @@ WITH base AS (
   SELECT movie_id, title, original_title, original_language, release_date, release_year, budget, revenue, runtime,
     vote_average, vote_count, popularity, is_adult, overview_is_empty, ingested_at FROM movies_by_priority
 ), genres AS (
-  SELECT CAST(CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'PROMO' THEN 4
+  SELECT DISTINCT CAST(CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'PROMO' THEN 4
     WHEN 'SMALL' THEN 5 WHEN 'STANDARD' THEN 6 END AS BIGINT) AS genre_id, p_type AS genre_name FROM lookups
 ), movie_genres AS (
   SELECT DISTINCT id AS movie_id, CAST(type_id AS BIGINT) AS genre_id FROM fetched
@@ -271,7 +271,8 @@ _STATEMENTS = {
             SELECT DISTINCT id, l_partkey, l_suppkey, CASE WHEN l_tax > 0 THEN l_linenumber END,
               floor(l_quantity / 5), l_returnflag = 'R', l_linestatus FROM fetched)
           UNION ALL SELECT id, e FROM bare, (VALUES ('details'), ('credits')) v(e)
-          UNION ALL SELECT NULL, 'genres' FROM lookups UNION ALL SELECT NULL, 'genres' FROM lookups
+          UNION ALL SELECT NULL, 'genres' FROM (
+            SELECT DISTINCT p_type FROM lookups UNION ALL SELECT DISTINCT lower(p_type) FROM lookups)
           UNION ALL SELECT NULL, 'details' FROM (SELECT DISTINCT html FROM pages)
           UNION ALL SELECT NULL, 'trending' FROM (SELECT DISTINCT props FROM events)
         ) GROUP BY source_endpoint, movie_id""",

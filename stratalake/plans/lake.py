@@ -33,7 +33,7 @@ class Lake:
         self._namespaces: set[str] = set()
         self._builders: dict[str, tuple[Callable[[], DataFrame], object, tuple[str, ...]]] = {
             "bronze.raw_movies": (bronze, BRONZE, ("source_endpoint",)),
-            "silver.staged": (lambda: silver.staged(self.bronze), None, ("source_endpoint",)),
+            "silver.staged": (lambda: silver.staged(self.bronze), None, ()),
             "silver.movies": (lambda: silver.movies(self.staged), SILVER["movies"], ()),
             "silver.genres": (lambda: silver.genres(self.bronze), SILVER["genres"], ()),
             "silver.movie_genres": (lambda: silver.movie_genres(self.staged), SILVER["movie_genres"], ()),

@@ -16,6 +16,9 @@ def configured(master: str | None = None, shuffle_partitions: int | None = None)
         SparkSession.builder.appName("stratalake")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # More than the endpoints there are: a partitioned write then keeps its files open instead of
+        # sorting whole documents by endpoint first.
+        .config("spark.sql.maxConcurrentOutputFileWriters", "16")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
     )
@@ -23,4 +26,6 @@ def configured(master: str | None = None, shuffle_partitions: int | None = None)
         builder = builder.master(master).config("spark.driver.memory", "16g")
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # Several splits per core even out documents that compress differently.
+        builder = builder.config("spark.sql.files.minPartitionNum", str(2 * shuffle_partitions))
     return builder

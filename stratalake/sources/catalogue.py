@@ -157,9 +157,9 @@ def _listed(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def _genre_lookups(spark: SparkSession, tables: str) -> DataFrame:
-    """Lookup documents: an older one per genre in lower case, and the current one."""
+    """Lookup documents: for every part an older one with the genre in lower case, and a current one."""
     return (
-        _read(spark, tables, "part").select("p_type").distinct()
+        _read(spark, tables, "part")
         .selectExpr(
             "p_type",
             "explode(array(named_struct('at', TIMESTAMP_NTZ '2023-01-01 00:00:00', 'name', lower(p_type)),"

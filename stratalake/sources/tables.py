@@ -8,6 +8,10 @@ from pyspark.sql import types as T
 
 from ..schemas import conform
 
+# A reader splits files by their compressed bytes, and copies of a document compress to almost nothing:
+# without a bound on the rows, one split could hold most of the text there is to parse.
+WRITE_OPTIONS = {"compression": "zstd", "maxRecordsPerFile": "250000"}
+
 def create_namespace(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
 
@@ -16,7 +20,7 @@ def replace_table(
     df: DataFrame, name: str, schema: T.StructType, partition_by: tuple[str, ...] = ()
 ) -> DataFrame:
     """Drop and recreate a table from a frame that must have the declared columns and types."""
-    writer = conform(df, schema).write.mode("overwrite").format("parquet")
+    writer = conform(df, schema).write.mode("overwrite").format("parquet").options(**WRITE_OPTIONS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
@@ -31,14 +35,15 @@ def refill_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def append_bronze(df: DataFrame, path: str, schema: T.StructType) -> None:
-    conform(df, schema).write.mode("append").partitionBy("source_endpoint").parquet(path)
+    writer = conform(df, schema).write.mode("append").options(**WRITE_OPTIONS)
+    writer.partitionBy("source_endpoint").parquet(path)
 
 
 def overwrite_bronze(df: DataFrame, path: str, schema: T.StructType) -> None:
     """Replace the endpoints found in the frame; the folders of other endpoints stay."""
     (
         conform(df, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("source_endpoint").parquet(path)
+        .options(**WRITE_OPTIONS).partitionBy("source_endpoint").parquet(path)
     )
 
 

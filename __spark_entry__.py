@@ -27,6 +27,14 @@ from stratalake.sources import catalogue, documents, tables
 from stratalake.sources.workspace import fresh_path, store
 from stratalake.streaming.landing import land_new_files
 
+try:  # the operators for training data are an optional part
+    import corpus_pipeline
+    from stratalake.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("corpus_pipeline", "stratalake.llm")):
+        raise
+    llm_queries = None
+
 BATCH = datetime(2024, 6, 1)
 LANDED = documents.SAVED_PATTERN
 DRILL_GENRE, DRILL_YEAR = "MEDIUM", 1998
@@ -440,8 +448,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in _QUERIES}
+    found = {query.__name__: query for query in _QUERIES}
+    if llm_queries is not None:
+        found |= llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_statements.statements()
+    found = oracle_statements.statements()
+    if llm_queries is not None:
+        found |= llm_queries.oracle_sql()
+    return found

@@ -6,12 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, packing, quality
+from . import language_id, lm, packing, quality, warc
 from .common import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = id_remainder(F.col("doc_id"), 7) == 2
+    docs = table(spark, folder, "documents")
+    scorer, counts = lm.train(docs.where(~held_out))
+    return lm.score(docs, scorer, counts).withColumn("held_out", held_out)
+
+
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as the archives give it back."""
+    return warc.archived(table(spark, folder, "pages")).drop("url")
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -27,7 +39,17 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs, model).withColumn("held_out", held_out)
 
 
-QUERIES = (op6_quality, op9_packing, op10_language_id)
+WARC_SQL = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS bytes FROM pages
+), f AS (SELECT html, min(page_id) AS first FROM p WHERE bytes >= 100 GROUP BY html)
+SELECT page_id, bytes AS payload_bytes, sha256(p.html) AS payload_digest,
+    CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first < page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.html = f.html
+"""
+
+QUERIES = (op1_lm_score, op2_warc, op6_quality, op9_packing, op10_language_id)
 
 
 def queries() -> dict:
@@ -35,4 +57,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc": WARC_SQL}

@@ -14,27 +14,32 @@ separate documents. An empty table gives no rows. Further columns are ignored.
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keys import dense_key
 from ..sources.workspace import store
-from .common import map_rows
+
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are read as little-endian 32-bit numbers")
 
 WINDOW = 4096
 END_ID = 2
-#: Words and white-space separated chunks whose ids a task remembers; beyond that it starts anew.
+#: Words whose ids a task remembers; beyond that only those used last stay.
 REMEMBERED = 400_000
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
-class ChunkIds(dict):
+class ChunkIds:
     """Chunk of text without white space -> its ids as little-endian 32-bit bytes.
 
     White space separates tokens and leaves none, so a text's ids are those of its chunks in a row. For
@@ -48,7 +53,9 @@ class ChunkIds(dict):
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True
+        self.tokenize = self.tokenizer.model.tokenize
         self.words: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}  # what was used last before the memory was full
         # How the tokenizer splits a chunk, and the characters it reads single bytes as.
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -57,29 +64,43 @@ class ChunkIds(dict):
         # ASCII letters and marks, and Latin-1 letters; control and other blank characters are left to the tokenizer.
         self.simple = regex.compile("[\x21-\x7e\xa1-\xac\xae-\xff]*").fullmatch
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
+    def of(self, chunk: str) -> bytes:
+        lower = chunk.lower()
+        word, mark = (lower, "") if lower[-1:].isalpha() else (lower[:-1], lower[-1:])
+        if word.isalpha() and word.isascii() and (not mark or mark in ".,;:!?"):
+            return self.word(word) + (self.word(mark) if mark else b"")
         if self.simple(chunk) and "<|" not in chunk:
-            ids = b"".join([self.words.get(w) or self.word(w) for w in self.split(chunk.lower())])
-        else:
-            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(chunk) <= 64:
-            self[chunk] = ids
-        return ids
+            return b"".join(map(self.word, self.split(lower)))
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def word(self, word: str) -> bytes:
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
-        symbols = word.encode().decode("latin-1").translate(self.bytes_as)
-        ids = np.array([token.id for token in self.tokenizer.model.tokenize(symbols)], "<u4").tobytes()
-        if len(word) <= 64:
-            self.words[word] = ids
+        ids = self.words.get(word)
+        if ids is None:
+            ids = self.earlier.get(word)
+            if ids is None:
+                symbols = word if word.isascii() else word.encode().decode("latin-1").translate(self.bytes_as)
+                ids = array("I", [token.id for token in self.tokenize(symbols)]).tobytes()
+            if len(word) <= 64:
+                self.words[word] = ids
+                if len(self.words) >= REMEMBERED:
+                    self.earlier, self.words = self.words, {}
         return ids
 
-    def of(self, text: str) -> bytes:
-        spaced = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
-        return b"".join(map(self.__getitem__, spaced.split(" ")))
+    def of_texts(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text; every different chunk is looked at once."""
+        chunks = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        ends = chunks.offsets.to_numpy()
+        named = chunks.flatten().dictionary_encode()
+        number = named.indices.to_numpy(zero_copy_only=False)
+        ids = [self.of(chunk) for chunk in named.dictionary.to_pylist()]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        ends = ends - ends[0]
+        for i in range(len(ends) - 1):
+            used = number[ends[i] : ends[i + 1]]
+            size = sizes[used]
+            upto = np.cumsum(size)
+            yield flat[np.repeat(starts[used] - upto + size, size) + np.arange(upto[-1] if len(upto) else 0)]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, with_ids: bool = False) -> DataFrame:
@@ -87,23 +108,28 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, with_ids:
 
     ``with_ids`` adds the ids themselves.
     """
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
+    types = [pa.int64()] * 5 + [pa.list_(pa.int64())] * with_ids
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = ChunkIds(tokenizer_path)
-        end = np.array([END_ID], "<u4").tobytes()
-
-        def step(doc_ids, texts) -> Iterator[tuple]:
-            for doc_id, text in zip(doc_ids, texts, strict=True):
-                ids = chunks.of(text or "") + end
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    part = ids[4 * start : 4 * (start + window)]
-                    row = (doc_id, start, len(part) // 4, zlib.crc32(part), total)
-                    yield (*row, np.frombuffer(part, "<u4").tolist()) if with_ids else row
-
-        return step
-
-    return map_rows(docs.select("doc_id", "text"), make, PIECES + (", ids array<bigint>" if with_ids else ""))
+        end = np.array([END_ID], "<u4")
+        for batch in batches:
+            rows = []
+            for doc_id, ids in zip(batch.column(0).to_pylist(), chunks.of_texts(batch.column(1)), strict=True):
+                ids = np.concatenate([ids, end])
+                for start in range(0, len(ids), window):
+                    part = ids[start : start + window]
+                    row = (doc_id, start, len(part), zlib.crc32(part), len(ids))
+                    rows.append((*row, part) if with_ids else row)
+            if rows:
+                columns = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
+                )
+
+    schema = PIECES + (", ids array<bigint>" if with_ids else "")
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def closest(counts: dict[int, int], capacity: int) -> dict[int, int]:

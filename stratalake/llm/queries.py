@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, lm, packing, quality, warc
+from . import language_id, lm, near_dedup, packing, quality, warc
 from .common import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +28,10 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.groups(table(spark, folder, "documents"))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -49,7 +53,7 @@ SELECT page_id, bytes AS payload_bytes, sha256(p.html) AS payload_digest,
 FROM p LEFT JOIN f ON p.html = f.html
 """
 
-QUERIES = (op1_lm_score, op2_warc, op6_quality, op9_packing, op10_language_id)
+QUERIES = (op1_lm_score, op2_warc, op6_quality, op7_near_dedup, op9_packing, op10_language_id)
 
 
 def queries() -> dict:

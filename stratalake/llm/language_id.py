@@ -107,25 +107,31 @@ def fit(features: np.ndarray, labels: list[str], seed: int = 1) -> Model:
 
 def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
     """A model from columns ``text`` and ``lang``; rows without a language or a letter teach nothing."""
-    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("text", "lang")
-    sample = usable.orderBy(F.xxhash64("text"), "lang").limit(rows)
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    # The sample is found by hashes alone, so that no text but its own is moved. Equal hashes are equal rows.
+    mark = F.xxhash64("text", "doc_id")
+    last = usable.select(mark.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    if last is None:
+        return None
 
     def make():
         def step(texts, langs) -> Iterator[tuple]:
             for text, lang in zip(texts, langs, strict=True):
                 share = subwords(text)
                 used = np.flatnonzero(share)
-                yield used.tolist(), share[used].tolist(), lang
+                yield used, share[used], lang
 
         return step
 
-    found = map_rows(sample, make, "buckets array<int>, shares array<float>, lang string").collect()
-    if not found:
-        return None
-    features = np.zeros((len(found), BUCKETS), np.float32)
-    for i, row in enumerate(found):
-        features[i, row["buckets"]] = row["shares"]
-    return fit(features, [row["lang"] for row in found])
+    sample = usable.where(mark <= last).select("text", "lang")
+    found = map_rows(sample, make, "buckets array<int>, shares array<float>, lang string").limit(rows).toArrow()
+    features = np.zeros((found.num_rows, BUCKETS), np.float32)
+    at = 0
+    for batch in found.to_batches():
+        for buckets, shares in zip(batch["buckets"], batch["shares"], strict=True):
+            features[at, buckets.values.to_numpy()] = shares.values.to_numpy()
+            at += 1
+    return fit(features, found["lang"].to_pylist())
 
 
 def classify(text: str | None, model: Model | None) -> tuple[str, float, bool]:

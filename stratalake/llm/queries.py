@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, lm, near_dedup, packing, quality, warc
+from . import decontaminate, language_id, lm, near_dedup, packing, pii, quality, warc
 from .common import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,10 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages")).drop("url")
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     report = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return decontaminate.digest(report)
@@ -58,7 +62,7 @@ SELECT page_id, bytes AS payload_bytes, sha256(p.html) AS payload_digest,
 FROM p LEFT JOIN f ON p.html = f.html
 """
 
-QUERIES = (op1_lm_score, op2_warc, op5_decontaminate, op6_quality, op7_near_dedup, op9_packing, op10_language_id)
+QUERIES = (op1_lm_score, op2_warc, op4_pii, op5_decontaminate, op6_quality, op7_near_dedup, op9_packing, op10_language_id)
 
 
 def queries() -> dict:

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, lm, near_dedup, packing, pii, quality, warc
+from . import chat, decontaminate, language_id, lm, near_dedup, packing, pii, quality, warc
 from .common import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -24,6 +24,19 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(table(spark, folder, "pages")).drop("url")
 
 
+def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation with an assistant turn, preferred to itself with the last such turn broken off."""
+    made = chat.preferences(chat.broken_off_pairs(table(spark, folder, "conversations")))
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias(spans)
+
+    return made.select(
+        "pair_id", F.col("n_common").cast("bigint").alias("n_common"), "prompt", "chosen", "rejected",
+        listed("chosen_spans"), listed("rejected_spans"),
+    )
+
+
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
@@ -62,7 +75,43 @@ SELECT page_id, bytes AS payload_bytes, sha256(p.html) AS payload_digest,
 FROM p LEFT JOIN f ON p.html = f.html
 """
 
-QUERIES = (op1_lm_score, op2_warc, op4_pii, op5_decontaminate, op6_quality, op7_near_dedup, op9_packing, op10_language_id)
+CHAT_SQL = """
+WITH t AS (
+    SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+), n AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS place FROM t
+), l AS (
+    SELECT *, max(CASE WHEN role = 'assistant' THEN place END) OVER (PARTITION BY conv_id) AS last FROM n
+), b AS (
+    SELECT conv_id, place, last, role, coalesce(text, '') AS whole,
+        CASE WHEN place = last THEN left(coalesce(text, ''), length(coalesce(text, '')) // 2) ELSE coalesce(text, '') END AS part
+    FROM l WHERE last IS NOT NULL
+), c AS (
+    SELECT *, min(CASE WHEN whole <> part THEN place END) OVER (PARTITION BY conv_id) AS differs,
+        max(place) OVER (PARTITION BY conv_id) AS places FROM b
+), r AS (
+    SELECT *, coalesce(differs - 1, places) AS common,
+        '<|im_start|>' || coalesce(role, 'unknown') || chr(10) AS head FROM c
+), x AS (
+    SELECT *, head || whole || '<|im_end|>' || chr(10) AS turn_whole, head || part || '<|im_end|>' || chr(10) AS turn_part FROM r
+), o AS (
+    SELECT *,
+        sum(CASE WHEN place > common THEN length(turn_whole) ELSE 0 END) OVER w - length(turn_whole) + length(head) AS at_whole,
+        sum(CASE WHEN place > common THEN length(turn_part) ELSE 0 END) OVER w - length(turn_part) + length(head) AS at_part
+    FROM x WINDOW w AS (PARTITION BY conv_id ORDER BY place)
+)
+SELECT conv_id AS pair_id, max(common) AS n_common,
+    coalesce(string_agg(turn_whole, '' ORDER BY place) FILTER (WHERE place <= common), '') AS prompt,
+    coalesce(string_agg(turn_whole, '' ORDER BY place) FILTER (WHERE place > common), '') AS chosen,
+    coalesce(string_agg(turn_part, '' ORDER BY place) FILTER (WHERE place > common), '') AS rejected,
+    coalesce(string_agg(at_whole || ':' || (at_whole + length(whole) + 10), ',' ORDER BY place)
+        FILTER (WHERE place > common AND role = 'assistant'), '') AS chosen_spans,
+    coalesce(string_agg(at_part || ':' || (at_part + length(part) + 10), ',' ORDER BY place)
+        FILTER (WHERE place > common AND role = 'assistant'), '') AS rejected_spans
+FROM o GROUP BY conv_id
+"""
+
+QUERIES = (op1_lm_score, op2_warc, op3_chat, op4_pii, op5_decontaminate, op6_quality, op7_near_dedup, op9_packing, op10_language_id)
 
 
 def queries() -> dict:
@@ -70,4 +119,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": WARC_SQL}
+    return {"op2_warc": WARC_SQL, "op3_chat": CHAT_SQL}

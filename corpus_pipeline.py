@@ -1,4 +1,7 @@
-"""From raw documents to packed training sequences, one written table per stage."""
+"""From raw documents to packed training sequences, one written table per stage.
+
+A stage works on what the one before it kept. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
@@ -8,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import language_id, packing
-from stratalake.llm.common import id_remainder
+from stratalake.llm import decontaminate, language_id, near_dedup, packing, pii
+from stratalake.llm.common import id_remainder, table
 from stratalake.sources.workspace import store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,6 +24,21 @@ def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     return language_id.keep_known(docs, model)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    return near_dedup.keep_one(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    return decontaminate.clean(docs, table(spark, folder, "benchmark"))
+
+
+def redact_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, with personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All tokens of the documents in sequences of at most 4096."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -28,6 +46,9 @@ def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("language", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("pii", redact_personal_data),
     ("packing", pack),
 ]
 
@@ -36,7 +57,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = store(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)

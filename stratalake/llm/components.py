@@ -16,9 +16,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     hung = both.join(least, "u").where("v > u" if large else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    if not large:
-        hung = hung.union(least.select("u", F.col("m").alias("v")))
-    return hung.where("u <> v").distinct()
+    if large:
+        return hung
+    return hung.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
     Every step is written, so that a lost executor costs one step. The steps end when all edges point at the
     smallest node, after about the logarithm of a component's width.
     """
-    now = store(edges.select("u", "v").where("u <> v").distinct())
+    now = edges.select("u", "v").where("u <> v")
     mark = None
     while True:
         now = store(_star(_star(now, large=True), large=False))

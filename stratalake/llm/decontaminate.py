@@ -1,8 +1,8 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
 The index is a stored table of postings ``term, doc, pos``, one for every word of every text. Each task that reads
-texts writes a segment of its own, sorted by term, so building it moves no rows between tasks and a lookup
-reads the pages of its terms only. A posting without a term closes each document and holds its length.
+texts writes a segment of its own, sorted by a hash of the term, so building it moves no rows between tasks and
+the postings of a term lie together. A posting without a term closes each document and holds its length.
 
 A phrase is searched from its two rarest terms: their lists, shifted by the terms' places in the phrase, are
 intersected, and what is left is compared word by word with the text. Phrases with a term that no document has
@@ -39,14 +39,22 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.xxhash64("doc_id", "text").alias("doc"), "doc_id", "text")
 
 
+def _slot(term: Column) -> Column:
+    return F.xxhash64(term)
+
+
 def build_index(docs: DataFrame) -> DataFrame:
-    """Write the postings ``term, doc, pos, doc_id`` of all texts; the id is in closing postings only."""
+    """Write the postings ``slot, term, doc, pos, doc_id`` of all texts; the id is in closing postings only.
+
+    The slot is the term's hash: numbers are sorted without comparing rows, and a task's commonest terms
+    would need that most.
+    """
     spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "postings")
     closed = F.concat(words_of(F.col("text")), F.array(F.lit(CLOSING)))
     postings = _documents(docs).select("doc", "doc_id", F.posexplode(closed).alias("pos", "term")).select(
-        "term", "doc", "pos", F.when(F.col("term") == CLOSING, F.col("doc_id")).alias("doc_id")
+        _slot(F.col("term")).alias("slot"), "term", "doc", "pos", F.when(F.col("term") == CLOSING, F.col("doc_id")).alias("doc_id")
     )
-    postings.sortWithinPartitions("term").write.option("compression", "zstd").parquet(path)
+    postings.sortWithinPartitions("slot").write.option("compression", "zstd").parquet(path)
     return spark.read.schema(postings.schema).parquet(path)
 
 
@@ -138,7 +146,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     index = build_index(docs)
     phrases = store(windows(items, window).withColumn("phrase", F.monotonically_increasing_id()))
     hits = _hits(docs, index, phrases).withColumnRenamed("doc", "_doc").withColumnRenamed("doc_id", "_id")
-    lengths = index.where(F.col("term") == CLOSING).select("doc", "doc_id", F.col("pos").cast("bigint").alias("n_words"))
+    closing = (F.col("slot") == _slot(F.lit(CLOSING))) & (F.col("term") == CLOSING)
+    lengths = index.where(closing).select("doc", "doc_id", F.col("pos").cast("bigint").alias("n_words"))
     rows = lengths.join(hits, (F.col("doc") == F.col("_doc")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
     return rows.select(

@@ -18,13 +18,14 @@ tells apart the many texts that agree in half of their coordinates. No pair that
 
 Words are runs of characters other than ASCII white space, A-Z lower-cased. A text of fewer than three words is
 one shingle; a null text, or one without words, has an empty set and no links. Rows with the same id are one
-document with the links of all of them. A row without an id has no links: its component is null and it is
+document with the links of all its texts. A row without an id has no links: its component is null and it is
 kept. An empty table gives no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,9 +40,9 @@ COORDINATES, MATCHES = 48, 24
 PREFIX = COORDINATES - MATCHES + 1
 #: Words whose hash a task remembers; beyond that it starts anew.
 REMEMBERED = 500_000
-#: Rounds of hubs go on while trying all pairs of a list would cost more than so many per posting and a round
-#: still lowers that to less than so large a share.
-PAIRS_PER_POSTING, WORTHWHILE = 2, 0.8
+#: Rounds of hubs go on while trying all pairs of a list would cost more than so many per posting and at least
+#: so large a share of the pairs with hubs are links.
+PAIRS_PER_POSTING, PRODUCTIVE = 2, 0.5
 
 _rng = np.random.default_rng(20240601)
 _PLACES = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -132,19 +133,18 @@ def _members(docs: DataFrame) -> DataFrame:
 
 def _posted(classes: DataFrame) -> DataFrame:
     """``key, class, n, shares``: each class under its rarest shared coordinates; how many of them are shared."""
-    postings = classes.select("class", F.explode("coordinates").alias("key"))
+    postings = classes.select("class", "n", F.explode("coordinates").alias("key"))
     shared = postings.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
-    rows = postings.join(shared, "key").groupBy("class").agg(F.collect_list(F.struct("times", "key")).alias("shared"))
+    rows = postings.join(shared, "key").groupBy("class", "n").agg(F.collect_list(F.struct("times", "key")).alias("shared"))
     # Coordinates that are not shared are the rarest of all and take the first places.
     places = F.size("shared") - (MATCHES - 1)
-    rows = rows.where(places > 0).select(
-        "class", F.size("shared").alias("shares"), F.explode(F.slice(F.array_sort("shared"), 1, places)).alias("p")
+    return rows.where(places > 0).select(
+        F.explode(F.slice(F.array_sort("shared"), 1, places)["key"]).alias("key"), "class", "n", F.size("shared").alias("shares")
     )
-    return rows.join(classes.select("class", "n"), "class").select(F.col("p.key").alias("key"), "class", "n", "shares")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` of classes that are similar: by signature first, then by their sets."""
+def _confirmed(pairs: DataFrame, sets: DataFrame, by_signature: bool) -> DataFrame:
+    """The pairs ``u, v`` of classes that are similar by their sets, looking at signatures first if asked to."""
 
     def both(rows: DataFrame, column: str) -> DataFrame:
         side = sets.select("class", F.col(column).alias("_"))
@@ -152,8 +152,9 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             rows = rows.join(side.select(F.col("class").alias(name), F.col("_").alias(f"_{name}")), name)
         return rows
 
-    close = both(pairs, "coordinates").where(F.size(F.array_intersect("_u", "_v")) >= MATCHES).select("u", "v")
-    counted = both(close, "shingles").select(
+    if by_signature:
+        pairs = both(pairs, "coordinates").where(F.size(F.array_intersect("_u", "_v")) >= MATCHES).select("u", "v")
+    counted = both(pairs, "shingles").select(
         "u", "v", F.size(F.array_intersect("_u", "_v")).alias("common"), (F.size("_u") + F.size("_v")).alias("both")
     )
     return counted.where(100 * F.col("common") >= PERCENT * (F.col("both") - F.col("common"))).select("u", "v")
@@ -200,14 +201,14 @@ def _by_rarest_members(rest: DataFrame, sets: DataFrame) -> DataFrame:
     return _distinct(lists.join(others, "key").where((F.col("component") < F.col("other_component")) & enough))
 
 
-def _links(lists: DataFrame, sets: DataFrame) -> DataFrame:
+def _links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
     """Enough confirmed links ``u, v`` between classes to tell all components."""
-    links, turn, last = None, 0, float("inf")
+    links, turn, productive = None, 0, True
     while True:
         if links is None:
             now = lists.withColumn("component", F.col("class"))
         else:
-            found = store(components(links)).withColumnRenamed("node", "class")
+            found = components(links).withColumnRenamed("node", "class")
             now = lists.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
         now = store(now)
         # First the class that shares most, which is in the middle of its near copies; then another each time.
@@ -223,22 +224,36 @@ def _links(lists: DataFrame, sets: DataFrame) -> DataFrame:
         across = F.sum((members * members - F.col("inside")) / 2)
         cost = open_lists.agg(across.alias("pairs"), F.sum("members").alias("postings")).first()
         if not cost["postings"]:
-            break
-        rest = now.join(open_lists.select("key"), "key")
-        if cost["pairs"] <= PAIRS_PER_POSTING * cost["postings"]:
-            pairs, done = _by_coordinates(rest), True
-        elif cost["pairs"] > WORTHWHILE * last:
-            pairs, done = _by_rarest_members(store(rest.select("class", "component", "n").distinct()), sets), True
+            return links
+        few, rest = cost["pairs"] <= PAIRS_PER_POSTING * cost["postings"], now.join(open_lists.select("key"), "key")
+        if few:
+            pairs = _by_coordinates(rest)
+        elif not productive:
+            pairs = _by_rarest_members(store(rest.select("class", "component", "n").distinct()), sets)
         else:
             hub = [F.col(f"hub.{c}").alias(f"other_{c}") for c in ("class", "component", "n")]
             pairs = now.join(open_lists.select("key", *hub), "key")
-            pairs, done = _distinct(pairs.where(F.col("component") != F.col("other_component"))), False
-        more = _confirmed(store(pairs), sets)
-        links = store(more if links is None else links.union(more))
-        if done:
-            break
-        turn, last = turn + 1, cost["pairs"]
-    return links
+            pairs = _distinct(pairs.where(F.col("component") != F.col("other_component")))
+        pairs = store(pairs)
+        more = store(_confirmed(pairs, sets, by_signature=few or productive))
+        links = more if links is None else links.union(more)
+        if few or not productive:
+            return links
+        turn, productive = turn + 1, more.count() >= PRODUCTIVE * pairs.count()
+
+
+def _same_documents(linkable: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """Links between the classes of an id whose rows have several sets."""
+    several = store(
+        linkable.groupBy("doc_id").agg(F.min("set_key").alias("first"), F.max("set_key").alias("last")).where("first <> last")
+    )
+    if several.isEmpty():
+        return None
+    key = classes.select("set_key", "class")
+    rows = linkable.select("doc_id", "set_key").join(several, "doc_id").join(key, "set_key")
+    return rows.join(key.select(F.col("set_key").alias("first"), F.col("class").alias("v")), "first").select(
+        F.col("class").alias("u"), "v"
+    )
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -253,30 +268,28 @@ def groups(docs: DataFrame) -> DataFrame:
     lists = store(_posted(classes))
     # One document stands for each class that is posted.
     posted = classes.join(lists.select("class").distinct(), "class", "left_semi")
-    texts = docs.select("doc_id", "text").join(
-        posted.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi"
-    )
+    posted = store(posted.select("set_key", "class", "first_id", "coordinates"))
+    texts = docs.select("doc_id", "text").join(posted.select(F.col("first_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     # Rows with the same id can have several texts: only the set that belongs to the class counts, once.
     sets = store(
-        _members(texts).join(posted.select("set_key", "class", "coordinates"), "set_key").drop("set_key")
-        .dropDuplicates(["class"])
+        _members(texts).join(posted.drop("first_id"), "set_key").drop("set_key").dropDuplicates(["class"])
     )
-    links = _links(lists, sets)
-    of_class = linkable.select("doc_id", "set_key").join(classes.select("set_key", "class", "first_id"), "set_key")
-    of_class = store(of_class.select("doc_id", "class", "first_id"))
-    # Classes that share an id belong together.
-    several = of_class.groupBy("doc_id").agg(F.min("class").alias("u"), F.max("class").alias("last")).where("u <> last")
-    same = of_class.join(several, "doc_id").select("u", F.col("class").alias("v"))
-    found = components(same if links is None else links.union(same))
-    found = store(found.withColumnRenamed("node", "class"))
-    rooted = classes.select("class", "first_id").join(found, "class", "left")
-    rooted = rooted.withColumn("component", F.coalesce("component", "class"))
-    smallest = rooted.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_document = (
-        rooted.join(smallest, "component").select("class", "component_id").join(of_class.select("doc_id", "class"), "class")
-        .groupBy("doc_id").agg(F.min("component_id").alias("_component"))
+    links = [found for found in (_links(lists, sets), _same_documents(linkable, classes)) if found is not None]
+    named = classes.select("set_key", F.col("first_id").alias("component_id"))
+    if links:
+        found = store(components(reduce(DataFrame.union, links)).withColumnRenamed("node", "class"))
+        rooted = classes.select("class", "first_id").join(found, "class")
+        smallest = rooted.groupBy("component").agg(F.min("first_id").alias("smallest"))
+        found = found.join(smallest, "component").select("class", "smallest")
+        named = classes.join(found, "class", "left").select("set_key", F.coalesce("smallest", "first_id").alias("component_id"))
+    own = F.coalesce("component_id", "doc_id")
+    rows = sketches.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+    return rows.join(named, "set_key", "left").select(
+        "doc_id", "n_shingles", own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept")
     )
-    return sketches.select("doc_id", "n_shingles").join(of_document, "doc_id", "left").select(
-        "doc_id", "n_shingles", F.coalesce("_component", "doc_id").alias("component_id"),
-        (F.col("doc_id") == F.coalesce("_component", "doc_id")).alias("kept"),
-    ).withColumn("kept", F.coalesce("kept", F.lit(True)))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows, with all their columns, of one document of each group; rows that agree in id and text count once."""
+    others = groups(docs).where(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language_id, lm, near_dedup, packing, pii, quality, warc
+from . import chat, decontaminate, language_id, licences, lm, near_dedup, packing, pii, quality, warc
 from .common import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,6 +54,11 @@ def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.groups(table(spark, folder, "documents"))
 
 
+def op8_licences(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(table(spark, folder, "documents"))
+    return found.withColumn("families", F.array_join("families", ","))
+
+
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -111,7 +116,7 @@ SELECT conv_id AS pair_id, max(common) AS n_common,
 FROM o GROUP BY conv_id
 """
 
-QUERIES = (op1_lm_score, op2_warc, op3_chat, op4_pii, op5_decontaminate, op6_quality, op7_near_dedup, op9_packing, op10_language_id)
+QUERIES = (op1_lm_score, op2_warc, op3_chat, op4_pii, op5_decontaminate, op6_quality, op7_near_dedup, op8_licences, op9_packing, op10_language_id)
 
 
 def queries() -> dict:

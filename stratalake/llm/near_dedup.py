@@ -132,19 +132,20 @@ def _members(docs: DataFrame) -> DataFrame:
 
 
 def _posted(classes: DataFrame) -> DataFrame:
-    """``key, class, n, shares``: each class under its rarest shared coordinates; how many of them are shared."""
+    """``key, class, n, company``: each class under its rarest shared coordinates, and how often all those it shares occur."""
     postings = classes.select("class", "n", F.explode("coordinates").alias("key"))
     shared = postings.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
     rows = postings.join(shared, "key").groupBy("class", "n").agg(F.collect_list(F.struct("times", "key")).alias("shared"))
     # Coordinates that are not shared are the rarest of all and take the first places.
     places = F.size("shared") - (MATCHES - 1)
+    company = F.aggregate("shared", F.lit(0).cast("bigint"), lambda total, s: total + s["times"])
     return rows.where(places > 0).select(
-        F.explode(F.slice(F.array_sort("shared"), 1, places)["key"]).alias("key"), "class", "n", F.size("shared").alias("shares")
+        F.explode(F.slice(F.array_sort("shared"), 1, places)["key"]).alias("key"), "class", "n", company.alias("company")
     )
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, by_signature: bool) -> DataFrame:
-    """The pairs ``u, v`` of classes that are similar by their sets, looking at signatures first if asked to."""
+def _compared(pairs: DataFrame, sets: DataFrame, by_signature: bool) -> DataFrame:
+    """Pairs ``u, v`` of classes with what their sets have in ``common``, those with unlike signatures left out if asked to."""
 
     def both(rows: DataFrame, column: str) -> DataFrame:
         side = sets.select("class", F.col(column).alias("_"))
@@ -154,19 +155,19 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, by_signature: bool) -> DataFra
 
     if by_signature:
         pairs = both(pairs, "coordinates").where(F.size(F.array_intersect("_u", "_v")) >= MATCHES).select("u", "v")
-    counted = both(pairs, "shingles").select(
-        "u", "v", F.size(F.array_intersect("_u", "_v")).alias("common"), (F.size("_u") + F.size("_v")).alias("both")
-    )
-    return counted.where(100 * F.col("common") >= PERCENT * (F.col("both") - F.col("common"))).select("u", "v")
+    common = F.size(F.array_intersect("_u", "_v")).alias("common")
+    return both(pairs, "shingles").select("u", "v", common, (F.size("_u") + F.size("_v")).alias("both"))
+
+
+def _similar(compared: DataFrame) -> DataFrame:
+    return compared.where(100 * F.col("common") >= PERCENT * (F.col("both") - F.col("common"))).select("u", "v")
 
 
-def _distinct(pairs: DataFrame) -> DataFrame:
-    """Pairs ``u, v`` of a class and another one, leaving out sizes that are too unlike."""
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Distinct pairs ``u, v`` of a class and another one, leaving out sizes that are too unlike."""
     n, other = F.col("n"), F.col("other_n")
     near = (n * 100 >= PERCENT * other) & (other * 100 >= PERCENT * n)
-    return pairs.where(near).select(
-        F.least("class", "other_class").alias("u"), F.greatest("class", "other_class").alias("v")
-    ).distinct()
+    return rows.where(near).select(F.col("class").alias("u"), F.col("other_class").alias("v")).distinct()
 
 
 def _other(lists: DataFrame, *columns: str) -> DataFrame:
@@ -176,15 +177,20 @@ def _other(lists: DataFrame, *columns: str) -> DataFrame:
 def _by_coordinates(lists: DataFrame) -> DataFrame:
     """All pairs across components on the lists ``key, class, component, n``."""
     others = _other(lists, "class", "component", "n")
-    return _distinct(lists.join(others, "key").where(F.col("component") < F.col("other_component")))
+    return _pairs(lists.join(others, "key").where(F.col("component") < F.col("other_component")))
 
 
-def _by_rarest_members(rest: DataFrame, sets: DataFrame) -> DataFrame:
+def _by_rarest_members(rest: DataFrame, sets: DataFrame, compared: DataFrame) -> DataFrame:
     """Pairs across components among the classes ``class, component, n`` that share one of their rarest members.
 
-    Where two sets meet for the first time, in order of rarity, what is left of the shorter one must still
-    make up for the similarity asked for.
+    Two bounds on what a pair has in common leave out most of those that aren't similar. Where two sets meet for
+    the first time, in order of rarity, what is left of the shorter one must do. And if both were ``compared``
+    with the same hub, they share no more than one of them shares with it, plus what both have of shared members
+    that the hub lacks.
     """
+    hub = compared.groupBy(F.col("u").alias("class")).agg(F.max(F.struct("common", F.col("v").alias("hub"))).alias("h"))
+    hub = hub.union(compared.select(F.col("v").alias("class"), F.struct(F.lit(1 << 30).alias("common"), F.col("v").alias("hub")).alias("h")).distinct())
+    hub = hub.groupBy("class").agg(F.max("h").alias("h"))
     members = rest.join(sets.select("class", F.explode("shingles").alias("key")), "class")
     shared = members.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
     rows = members.join(shared, "key").groupBy("class").agg(
@@ -192,18 +198,28 @@ def _by_rarest_members(rest: DataFrame, sets: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("times", "key"))).alias("shared"),
     )
     places = F.size("shared") - F.ceil(F.col("n") * PERCENT / 100).cast("int") + 1
-    rows = rows.where(places > 0).select(
-        "class", "component", "n", F.size("shared").alias("all"), F.posexplode(F.slice("shared", 1, places)).alias("at", "p")
+    rows = rows.where(places > 0).join(hub, "class", "left")
+    with_hub = F.least(F.col("h.common"), F.size("shared"))
+    rows = rows.select(
+        "class", "component", "n", F.size("shared").alias("all"), F.col("h.hub").alias("hub"), with_hub.alias("with_hub"),
+        F.posexplode(F.slice("shared", 1, places)).alias("at", "p"),
     )
-    lists = store(rows.select(F.col("p.key").alias("key"), "class", "component", "n", (F.col("all") - F.col("at")).alias("left")))
-    enough = F.least("left", "other_left") * (100 + PERCENT) >= PERCENT * (F.col("n") + F.col("other_n"))
-    others = _other(lists, "class", "component", "n", "left")
-    return _distinct(lists.join(others, "key").where((F.col("component") < F.col("other_component")) & enough))
+    columns = ("class", "component", "n", "hub", "with_hub", "beyond", "left")
+    lists = store(rows.select(
+        F.col("p.key").alias("key"), *columns[:5], (F.col("all") - F.col("with_hub")).alias("beyond"),
+        (F.col("all") - F.col("at")).alias("left"),
+    ))
+    at_most = F.least("left", "other_left")
+    by_hub = F.least("with_hub", "other_with_hub") + F.least("beyond", "other_beyond")
+    at_most = F.when(F.col("hub") == F.col("other_hub"), F.least(at_most, by_hub)).otherwise(at_most)
+    enough = at_most * (100 + PERCENT) >= PERCENT * (F.col("n") + F.col("other_n"))
+    across = F.col("component") < F.col("other_component")
+    return _pairs(lists.join(_other(lists, *columns), "key").where(across & enough))
 
 
 def _links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
     """Enough confirmed links ``u, v`` between classes to tell all components."""
-    links, turn, productive = None, 0, True
+    links, compared, turn, productive = None, None, 0, True
     while True:
         if links is None:
             now = lists.withColumn("component", F.col("class"))
@@ -211,8 +227,8 @@ def _links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
             found = components(links).withColumnRenamed("node", "class")
             now = lists.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
         now = store(now)
-        # First the class that shares most, which is in the middle of its near copies; then another each time.
-        order = F.struct(F.col("shares") * (-1 if turn == 0 else 0), F.xxhash64("class", F.lit(turn)))
+        # First the class with most company, which is in the middle of its near copies; then another each time.
+        order = F.struct(F.col("company") * (-1 if turn == 0 else 0), F.xxhash64("class", F.lit(turn)))
         parts = now.groupBy("key", "component").agg(
             F.count("*").alias("members"), F.min(F.struct(order.alias("order"), "class", "component", "n")).alias("hub")
         )
@@ -229,16 +245,18 @@ def _links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
         if few:
             pairs = _by_coordinates(rest)
         elif not productive:
-            pairs = _by_rarest_members(store(rest.select("class", "component", "n").distinct()), sets)
+            pairs = _by_rarest_members(store(rest.select("class", "component", "n").distinct()), sets, compared)
         else:
             hub = [F.col(f"hub.{c}").alias(f"other_{c}") for c in ("class", "component", "n")]
             pairs = now.join(open_lists.select("key", *hub), "key")
-            pairs = _distinct(pairs.where(F.col("component") != F.col("other_component")))
+            pairs = _pairs(pairs.where(F.col("component") != F.col("other_component")))
         pairs = store(pairs)
-        more = store(_confirmed(pairs, sets, by_signature=few or productive))
+        tried = store(_compared(pairs, sets, by_signature=few or productive))
+        more = _similar(tried)
         links = more if links is None else links.union(more)
         if few or not productive:
             return links
+        compared = tried if compared is None else compared.union(tried)
         turn, productive = turn + 1, more.count() >= PRODUCTIVE * pairs.count()
 
 

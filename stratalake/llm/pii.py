@@ -39,7 +39,6 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 SUPPORT, CONFIDENT, ROUNDS = 5, 0.6, 4
 #: Characters left of a slot that are looked at, and the longest context word.
 LEFT, LONGEST = 200, 64
-START, INSTANCE = "<s>", "<id>"
 
 
 def _identity(docs: DataFrame) -> DataFrame:
@@ -121,40 +120,36 @@ def _slots(matches: DataFrame) -> DataFrame:
     next_start = F.min(F.when(base, F.col("start"))).over(from_here)
     overlaps = (F.coalesce(before_end, F.lit(0)) > F.col("start")) | (F.coalesce(next_start, F.col("end")) < F.col("end"))
     kept = right.select("*", overlaps.alias("overlaps")).where(base | (~F.col("overlaps") & (F.length("value") > 0)))
-    words = F.transform(F.filter(F.split("before", r"\s+"), lambda w: w != ""), _context_word)
+    words = F.concat(F.array(F.lit(""), F.lit("")), F.filter(F.split(F.lower("before"), r"\s+"), lambda w: w != ""))
     # Words cut off by the limit of LEFT characters are longer than any that is looked at.
-    edge = F.when(F.length("before") >= LEFT, F.lit("")).when(F.col("nth") == 0, F.lit(START)).otherwise(F.lit(INSTANCE))
-    words = F.concat(F.array(edge, edge), words)
-    spaced = (F.col("before") == "") | F.col("before").rlike(r"\s$")
-    patterns = _patterns(F.element_at(words, -2), F.element_at(words, -1))
+    spaced = F.col("before").rlike(r"\s$")
+    patterns = _patterns(_readable(F.element_at(words, -2)), _readable(F.element_at(words, -1)))
     return kept.select(
         "doc", "doc_id", "kind", "start", "end", "value",
         F.when(spaced, patterns).otherwise(F.array().cast("array<string>")).alias("patterns"),
     )
 
 
-def _context_word(word: Column) -> Column:
-    return F.when(word.rlike("[0-9@]"), INSTANCE).when(F.length(word) > LONGEST, F.lit("")).otherwise(F.lower(word))
+def _readable(word: Column) -> Column:
+    """A context word; null for other instances, for what is too long, and where there is none."""
+    return F.when((word != "") & (F.length(word) <= LONGEST) & ~word.rlike("[0-9@]"), word)
 
 
 def _patterns(second: Column, first: Column) -> Column:
-    """The word before, and the two words before; none of an unreadable word or of another instance alone."""
-    one = F.when(~first.isin("", START, INSTANCE), first)
-    two = F.when((one.isNotNull()) & (second != ""), F.concat_ws(" ", second, first))
-    return F.array_compact(F.array(one, two))
+    """The word before, and the two words before, as far as they can be read."""
+    both = F.when(first.isNotNull() & second.isNotNull(), F.concat_ws(" ", second, first))
+    return F.array_compact(F.array(first, both))
 
 
 def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """``pattern, total``: how often each pattern stands before anything at all in the texts."""
-    words = F.concat(F.array(F.lit(START)), F.filter(F.split("text", r"\s+"), lambda w: w != ""))
-    texts = once(_identity(docs).select("text"), words=words)
-    # A pattern before the end of a text leads up to nothing and isn't counted.
-    pairs = texts.select(F.explode(F.arrays_zip(
-        F.slice("words", 1, F.size("words") - 1).alias("second"), F.slice("words", 2, F.size("words") - 1).alias("first")
-    )).alias("w"))
-    keys = pairs.select(_patterns(_context_word(F.col("w.second")), _context_word(F.col("w.first"))).alias("p"))
+    """``pattern, total``: how often each pattern stands anywhere in the texts, whatever follows it."""
+    ends = patterns.select(F.substring_index("pattern", " ", -1).alias("first")).distinct()
+    texts = once(_identity(docs).select("text"), words=F.split(F.lower("text"), r"\s+"))
+    words = texts.select("words", F.posexplode("words").alias("at", "first"))
+    words = words.select("first", F.get("words", F.col("at") - 1).alias("second")).join(ends, "first", "left_semi")
+    pairs = words.select(F.explode(F.array("first", F.concat("second", F.lit(" "), "first"))).alias("pattern"))
     return (
-        keys.select(F.explode("p").alias("pattern")).join(patterns.select("pattern"), "pattern", "left_semi")
+        pairs.join(patterns.select("pattern"), "pattern", "left_semi")
         .groupBy("pattern").agg(F.count("*").alias("total"))
     )
 
@@ -237,9 +232,10 @@ def redact(docs: DataFrame) -> DataFrame:
         tag = F.when(span["start"] >= span["after"], F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))).otherwise("")
         return F.concat(kept, tag)
 
-    last = F.array_max(F.transform("_spans", lambda s: s["end"]))
+    found = covered["_spans"]
+    last = F.array_max(F.transform(found, lambda s: s["end"]))
     rest = F.substr(text, (last + 1).cast("int"))
-    new = F.when(F.col("_spans").isNull(), text).otherwise(F.concat(F.array_join(F.transform("_spans", piece), ""), rest))
+    new = F.when(found.isNull(), text).otherwise(F.concat(F.array_join(F.transform(found, piece), ""), rest))
     columns = [new.alias(c) if c == "text" else docs[c] for c in docs.columns]
     redacted = rows.select(*columns)
     if "n_chars" in docs.columns:

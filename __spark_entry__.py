@@ -58,8 +58,13 @@ def _landing_folder(spark: SparkSession, folder: str) -> str:
 
 
 def _titles(bronze: DataFrame) -> DataFrame:
+    def field(path: str):
+        return F.get_json_object("payload", path)
+
     return bronze.select(
-        "movie_id", "source_endpoint", "ingested_at", F.get_json_object("payload", "$.title").alias("title")
+        "movie_id", "source_endpoint", "ingested_at", field("$.title").alias("title"),
+        field("$.budget").try_cast("bigint").alias("budget"), field("$.crew[0].job").alias("first_job"),
+        field("$.genres[0].id").try_cast("bigint").alias("first_genre"),
     )
 
 
@@ -76,13 +81,30 @@ def bronze_land(spark, folder):
 
 
 def bronze_incremental(spark, folder):
-    source = _landing_folder(spark, folder)
-    target, checkpoint = fresh_path(spark, "bronze"), fresh_path(spark, "stream")
+    """Two sets of files landed one after the other, with a batch appended in between."""
+    responses = catalogue.responses(spark, folder)
+    source, target, checkpoint = (fresh_path(spark, name) for name in ("responses", "bronze", "stream"))
+    lookup = F.col("source_endpoint") == "genres"
+    documents.save_responses(responses.where(lookup), source)
+    land_new_files(spark, source, target, checkpoint, BATCH, "lines", LANDED)
+    tables.append_bronze(tables.by_endpoint(_lake(spark, folder).bronze, "popular"), target, BRONZE)
+    documents.save_responses(responses.where(~lookup), source)
     for _ in range(2):  # the second run finds nothing new
         landed = land_new_files(spark, source, target, checkpoint, BATCH, "lines", LANDED)
     return _titles(landed)
 
 
+def land_json_documents(spark, folder):
+    """Whole files, one document each."""
+    path = fresh_path(spark, "documents")
+    catalogue.genre_lists(spark, folder).write.option("maxRecordsPerFile", 1).json(f"{path}/genres")
+    genre = F.from_json("payload", "genres ARRAY<STRUCT<id: BIGINT, name: STRING>>")["genres"]
+    return documents.land(spark, path, BATCH).select(
+        "source_endpoint", F.get_json_object("payload", "$.brand").alias("brand"),
+        F.array_join(F.transform(genre, lambda g: F.concat_ws(":", g["id"], g["name"])), ",").alias("genres"),
+    )
+
+
 def bronze_by_endpoint(spark, folder):
     rows = tables.by_endpoint(_lake(spark, folder).bronze, "credits", "popular")
     return rows.select("movie_id", "source_endpoint", "ingested_at")
@@ -109,8 +131,7 @@ def bronze_roundtrip(spark, folder):
 def bronze_dedup_append(spark, folder):
     bronze, path = _lake(spark, folder).bronze, fresh_path(spark, "bronze")
     tables.append_bronze(tables.by_endpoint(bronze, "discover", "popular"), path, BRONZE)
-    landed = tables.read_bronze(spark, path, BRONZE)
-    new = store(tables.unseen_documents(bronze, landed))
+    new = store(tables.unseen_documents(bronze, tables.landed_digests(spark, path), store))
     tables.append_bronze(new, path, BRONZE)
     return (
         tables.read_bronze(spark, path, BRONZE).groupBy("source_endpoint", "movie_id")
@@ -341,6 +362,13 @@ def kpi_by_genre_year(spark, folder):
     return _rounded_kpi(_lake(spark, folder).kpi_view("kpi_by_genre_year"))
 
 
+def chain_kpi_by_genre_year(spark, folder):
+    """From files to the report: landing, bronze, silver, gold and the KPI view."""
+    files = _landing_folder(spark, folder)
+    lake = Lake(spark, lambda: documents.land(spark, files, BATCH, "lines", LANDED))
+    return _rounded_kpi(lake.kpi_view("kpi_by_genre_year"))
+
+
 def kpi_studio_performance(spark, folder):
     return _rounded_kpi(_lake(spark, folder).kpi_view("kpi_studio_performance"))
 
@@ -359,7 +387,7 @@ def outliers(spark, folder):
 
 def overview_kpis(spark, folder):
     lake = _lake(spark, folder)
-    return reports.overview_kpis(lake.gold("fact_movie"), lake.silver("movies"))
+    return reports.overview_kpis(lake.gold("fact_movie"), lake.bronze)
 
 
 def overview_sliced(spark, folder):
@@ -428,14 +456,14 @@ def performer_profile(spark, folder):
 
 
 _QUERIES = (
-    bronze_land, bronze_incremental, bronze_by_endpoint, discover_ids, missing_details, bronze_roundtrip,
+    bronze_land, bronze_incremental, land_json_documents, bronze_by_endpoint, discover_ids, missing_details, bronze_roundtrip,
     bronze_dedup_append, layer_counts, endpoint_counts, dup_profile, dedup_profile, quarantine, dq_issue_log,
     silver_parsed, clean_sentinels, clean_types, clean_dates, clean_ratings, clean_text, completeness_score,
     silver_movies, silver_movies_sqlpolicy, silver_movies_sql, silver_genres, silver_movie_genres,
     silver_movie_genres_sql, silver_movie_companies, silver_movie_companies_sql, silver_movie_languages,
     silver_movie_cast, silver_movie_cast_sql, silver_roundtrip, reconcile_counts, reconcile_rows,
     reconcile_fields, rebuild_check, dim_date, dim_language, dim_genre, dim_movie, fact_movie,
-    bridge_movie_genre, kpi_by_genre_year, kpi_studio_performance, dq_report, outliers, overview_kpis,
+    bridge_movie_genre, kpi_by_genre_year, chain_kpi_by_genre_year, kpi_studio_performance, dq_report, outliers, overview_kpis,
     overview_sliced, drill_through, trend_by_year, revenue_yoy, genre_performance, genre_hit_rate,
     budget_revenue_corr, budget_bands, top_roi, bottom_roi, top_rated, top_studios, top_movies_per_genre,
     movie_explorer, performer_profile,

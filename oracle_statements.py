@@ -163,19 +163,32 @@ def _measures(*names: str) -> str:
 _HEADLINE = _measures("revenue", "budget", "profit", "known_profit", "roi", "count", "rating")
 
 _LANDED_ROWS = """
-  SELECT id AS movie_id, 'discover' AS source_endpoint, raw_title AS title FROM base
-  UNION ALL SELECT id, 'discover', raw_title FROM base WHERE is_relisted
-  UNION ALL SELECT id, 'popular', raw_title FROM base WHERE is_popular
-  UNION ALL SELECT id, 'popular', raw_title FROM base WHERE is_popular
-  UNION ALL SELECT id, 'trending', raw_title FROM base WHERE is_trending
-  UNION ALL SELECT id, 'details', raw_title FROM fetches JOIN base USING (id)
-  UNION ALL SELECT id, 'credits', NULL FROM fetches
-  UNION ALL SELECT NULL, 'genres', NULL FROM lookups
-  UNION ALL SELECT NULL, 'genres', NULL FROM lookups
+  SELECT id AS movie_id, 'discover' AS source_endpoint, raw_title AS title, CAST(NULL AS BIGINT) AS budget,
+    CAST(NULL AS VARCHAR) AS first_job, CAST(NULL AS BIGINT) AS first_genre FROM base
+  UNION ALL SELECT id, 'discover', raw_title, NULL, NULL, NULL FROM base WHERE is_relisted
+  UNION ALL SELECT id, 'popular', raw_title, NULL, NULL, NULL FROM base WHERE is_popular
+  UNION ALL SELECT id, 'popular', raw_title, NULL, NULL, NULL FROM base WHERE is_popular
+  UNION ALL SELECT id, 'trending', raw_title, NULL, NULL, NULL FROM base WHERE is_trending
+  UNION ALL SELECT id, 'details', raw_title, raw_budget, NULL, type_id FROM fetched JOIN base USING (id)
+  UNION ALL SELECT id, 'details', raw_title, raw_budget, NULL, NULL FROM bare JOIN base USING (id)
+  UNION ALL SELECT id, 'credits', NULL, NULL, CASE WHEN l_returnflag = 'R' THEN 'Director' ELSE 'Producer' END, NULL
+    FROM fetched
+  UNION ALL SELECT id, 'credits', NULL, NULL, NULL, NULL FROM bare
+  UNION ALL SELECT NULL, 'genres', NULL, NULL, NULL, {genre} FROM lookups, (VALUES (1), (2)) twice
+  UNION ALL SELECT NULL, 'details', NULL, NULL, NULL, NULL FROM pages
 """
+_GENRE_ID = (
+    "CASE p_type WHEN 'ECONOMY' THEN 1 WHEN 'LARGE' THEN 2 WHEN 'MEDIUM' THEN 3"
+    " WHEN 'PROMO' THEN 4 WHEN 'SMALL' THEN 5 WHEN 'STANDARD' THEN 6 END"
+)
 _LANDED = (
-    "SELECT movie_id, source_endpoint, TIMESTAMP '2024-06-01 00:00:00' AS ingested_at, title"
-    f" FROM ({_LANDED_ROWS})"
+    "SELECT movie_id, source_endpoint, TIMESTAMP '2024-06-01 00:00:00' AS ingested_at, title, budget, first_job, first_genre"
+    f" FROM ({_LANDED_ROWS.format(genre=_GENRE_ID)})"
+)
+# Incremental landing has a batch of popular movies appended in between.
+_POPULAR = (
+    "SELECT id AS movie_id, 'popular' AS source_endpoint, TIMESTAMP '2024-01-03 00:00:00' AS ingested_at,"
+    " raw_title AS title, NULL AS budget, NULL AS first_job, NULL AS first_genre FROM base WHERE is_popular"
 )
 
 _TABLES = (
@@ -248,17 +261,26 @@ def _performers() -> str:
         FROM chosen JOIN bridge_movie_genre USING (movie_key) JOIN dim_genre USING (genre_key)
       UNION ALL SELECT performers, 'language', language_code FROM chosen JOIN dim_language USING (language_key)
       UNION ALL SELECT performers, 'budget band', {_BAND} FROM chosen)
-    SELECT performers, trait, value, count(*) AS movies, round(count(*) / 100.0::DOUBLE, 6) AS share
+    SELECT performers, trait, value, count(*) AS movies,
+      round(count(*)::DOUBLE / (SELECT count(*) FROM chosen c WHERE c.performers = traits.performers), 6) AS share
     FROM traits GROUP BY performers, trait, value"""
 
 
 _STATEMENTS = {
     "bronze_land": _LANDED,
-    "bronze_incremental": _LANDED,
+    "bronze_incremental": f"{_LANDED} UNION ALL {_POPULAR}",
+    "land_json_documents": f"""SELECT 'genres' AS source_endpoint, p_brand AS brand,
+        string_agg(concat(g, ':', p_type), ',' ORDER BY g, p_type) AS genres
+        FROM (SELECT DISTINCT p_brand, p_type, {_GENRE_ID} AS g FROM part) GROUP BY p_brand""",
     "bronze_by_endpoint":
         "SELECT movie_id, source_endpoint, ingested_at FROM raw_movies WHERE source_endpoint IN ('credits', 'popular')",
     "discover_ids":
-        "SELECT id AS movie_id, listed_year AS first_page, CAST(0 AS INTEGER) AS first_position FROM base",
+        """SELECT movie_id, (min(p)).year AS first_year, (min(p)).page AS first_page, (min(p)).place AS first_position
+        FROM (SELECT id AS movie_id, struct_pack(year := year, page := CAST(id // 64 AS INTEGER), place :=
+            CAST(row_number() OVER (PARTITION BY year, id // 64 ORDER BY id) - 1 AS INTEGER)) AS p
+          FROM (SELECT id, listed_year AS year FROM base UNION ALL
+            SELECT id, CAST(listed_year + 1 AS INTEGER) FROM base WHERE is_relisted))
+        GROUP BY movie_id""",
     "missing_details": """SELECT id AS movie_id, e AS source_endpoint
         FROM base, (VALUES ('details'), ('credits')) v(e) WHERE NOT has_details""",
     "bronze_roundtrip": "SELECT movie_id, source_endpoint, ingested_at FROM raw_movies",
@@ -356,7 +378,7 @@ _STATEMENTS = {
             coalesce(revenue < budget, false) AS below_budget FROM movies, fences)
         SELECT * FROM flagged WHERE odd_runtime OR below_budget""",
     "overview_kpis":
-        f"SELECT {_HEADLINE}, (SELECT max(ingested_at) FROM movies) AS data_as_of FROM fact_movie",
+        f"SELECT {_HEADLINE}, (SELECT max(ingested_at) FROM raw_movies) AS data_as_of FROM fact_movie",
     "overview_sliced": f"""SELECT {_HEADLINE} FROM fact_movie
         WHERE date_key // 10000 BETWEEN 1996 AND 1999 AND movie_key IN (
           SELECT movie_key FROM bridge_movie_genre JOIN dim_genre USING (genre_key)
@@ -408,4 +430,7 @@ _STATEMENTS = {
 
 
 def statements() -> dict[str, str]:
-    return {name: _CTES + statement for name, statement in _STATEMENTS.items()}
+    found = {name: _CTES + statement for name, statement in _STATEMENTS.items()}
+    # Landed in one batch, of two spellings of a genre the one that sorts last is taken.
+    chain = found["kpi_by_genre_year"]
+    return found | {"chain_kpi_by_genre_year": f"SELECT * REPLACE (lower(genre_name) AS genre_name) FROM ({chain})"}

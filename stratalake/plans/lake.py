@@ -7,6 +7,7 @@ from collections.abc import Callable
 from functools import cached_property
 from typing import ClassVar
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import BRONZE, GOLD, SILVER
@@ -25,10 +26,20 @@ class Lake:
 
     _open: ClassVar[dict[tuple[str, str], Lake]] = {}
 
-    def __init__(self, spark: SparkSession, bronze: Callable[[], DataFrame]):
+    def __init__(
+        self, spark: SparkSession, bronze: Callable[[], DataFrame], root: str | None = None, name: str | None = None
+    ):
+        """A new lake, or with ``root`` and ``name`` the one that may already be there.
+
+        Namespaces are ``bronze_<name>``, ``silver_<name>`` and ``gold_<name>``. Tables found below the root are used
+        as they are, in a session with a lasting catalogue as in one without.
+        """
+        if (root is None) != (name is None):
+            raise ValueError("a lake to be opened again needs a root and a name")
         self.spark = spark
-        self._id = uuid.uuid4().hex[:12]
-        self._root = fresh_path(spark, "lake")
+        self._id = name or uuid.uuid4().hex[:12]
+        self._lasting, self._root = root is not None, root or fresh_path(spark, "lake")
+        self._source: Lake | None = None
         self._written: set[str] = set()
         self._namespaces: set[str] = set()
         self._builders: dict[str, tuple[Callable[[], DataFrame], object, tuple[str, ...]]] = {
@@ -65,8 +76,39 @@ class Lake:
         return cls._open[owner]
 
     def rebuilt(self) -> Lake:
-        """Empty silver and gold over the same bronze."""
-        return Lake(self.spark, lambda: self.bronze)
+        """Empty silver and gold over the same bronze table."""
+        anew = Lake(self.spark, lambda: self.bronze)
+        anew._source = self
+        return anew
+
+    def drop(self, *layers: str) -> None:
+        """Remove the tables of the given layers, or of all; what is asked for again is built anew."""
+        for layer in layers or ("gold", "silver", "bronze"):
+            if self._lasting or layer in self._namespaces:
+                # So that tables of an earlier session go with their files.
+                for name in [n for n in self._builders if n.startswith(f"{layer}.")]:
+                    self._opened(name, f"{self.namespace(layer)}.{name.partition('.')[2]}")
+                self.spark.sql(f"DROP DATABASE {self.namespace(layer)} CASCADE")
+                self._namespaces.discard(layer)
+        self._written = {n for n in self._written if n.partition(".")[0] in self._namespaces}
+        self.__dict__.pop("keyed_movies", None)
+
+    def _opened(self, name: str, qualified: str) -> bool:
+        """Whether the table is there, after entering one that an earlier session has left into the catalogue."""
+        if self.spark.catalog.tableExists(qualified):
+            return True
+        layer, _, short = name.partition(".")
+        path = f"{self._root}/{layer}/{short}"
+        try:
+            self.spark.read.parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return False
+        self.spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{path}'")
+        if self._builders[name][2]:
+            self.spark.catalog.recoverPartitions(qualified)
+        return True
 
     def namespace(self, layer: str) -> str:
         name = f"{layer}_{self._id}"
@@ -77,12 +119,14 @@ class Lake:
 
     def table(self, name: str) -> DataFrame:
         layer, _, short = name.partition(".")
+        if layer == "bronze" and self._source is not None:
+            return self._source.table(name)
         qualified = f"{self.namespace(layer)}.{short}"
-        if name not in self._written:
+        if name not in self._written and not (self._lasting and self._opened(name, qualified)):
             build, schema, partition_by = self._builders[name]
             df = build()
             tables.replace_table(df, qualified, schema or df.schema, partition_by)
-            self._written.add(name)
+        self._written.add(name)
         return self.spark.table(qualified)
 
     @property

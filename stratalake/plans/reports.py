@@ -13,9 +13,9 @@ DEFAULT_TOP = 10
 DEFAULT_MIN_VOTES = 10
 
 
-def overview_kpis(fact: DataFrame, movies: DataFrame) -> DataFrame:
-    """Headline figures, and when the data was last ingested."""
-    as_of = movies.agg(F.max("ingested_at").alias("at")).scalar()
+def overview_kpis(fact: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Headline figures, and when anything was last ingested, whether or not it won."""
+    as_of = bronze.agg(F.max("ingested_at").alias("at")).scalar()
     return _headline(fact).withColumn("data_as_of", as_of)
 
 
@@ -135,8 +135,8 @@ def _top(fact: DataFrame, by: Column, n: int) -> DataFrame:
 
 
 def _titled(rows: DataFrame, dim_movie: DataFrame) -> DataFrame:
-    """Attach titles to ``n`` rows; they are broadcast, so the dimension is read without a shuffle."""
-    return dim_movie.select("movie_key", "movie_id", "title").join(F.broadcast(rows), "movie_key")
+    """Attach titles to ``n`` rows; while they are few, adaptive execution broadcasts them by itself."""
+    return dim_movie.select("movie_key", "movie_id", "title").join(rows, "movie_key")
 
 
 def top_roi(fact: DataFrame, dim_movie: DataFrame, n: int = DEFAULT_TOP) -> DataFrame:
@@ -213,10 +213,8 @@ def performer_profile(
         _top(known, order, n).withColumn("performers", F.lit(name)).select(*columns)
         for name, order in (("top", F.desc("roi")), ("bottom", F.asc("roi")))
     ])
-    # 2n rows, so they are broadcast to the bridge and the dimensions.
-    few = F.broadcast(chosen)
     genre = (
-        bridge.join(few, "movie_key").join(dim_genre, "genre_key")
+        bridge.join(chosen, "movie_key").join(dim_genre, "genre_key")
         .select("performers", F.lit("genre").alias("trait"), F.col("genre_name").alias("value"))
     )
     others = chosen.join(dim_language, "language_key", "left").select(
@@ -226,7 +224,9 @@ def performer_profile(
             F.struct(F.lit("budget band").alias("trait"), m.budget_band().alias("value")),
         )),
     )
-    return (
-        genre.unionByName(others).where("value IS NOT NULL").groupBy("performers", "trait", "value")
-        .agg(F.count("*").alias("movies"), F.round(F.count("*") / F.lit(n), m.DIGITS).alias("share"))
+    sizes = chosen.groupBy("performers").agg(F.count("*").alias("group_size"))
+    counts = genre.unionByName(others).where("value IS NOT NULL").groupBy("performers", "trait", "value")
+    return counts.agg(F.count("*").alias("movies")).join(sizes, "performers").select(
+        "performers", "trait", "value", "movies",
+        F.round(F.col("movies") / F.col("group_size"), m.DIGITS).alias("share"),
     )

@@ -87,24 +87,22 @@ WHERE genre_id IS NOT NULL GROUP BY genre_id
 """
 
 _CAST = """
-WITH docs AS (
-  SELECT doc FROM {bronze} LATERAL VIEW explode(array(try_parse_json(payload))) parsed AS doc
+WITH groups AS (
+  SELECT doc, role_type, people FROM {bronze}
+  LATERAL VIEW explode(array(try_parse_json(payload))) parsed AS doc
+  LATERAL VIEW stack(2, 'Cast', try_variant_get(doc, '$.cast', 'variant'),
+    'Director', try_variant_get(doc, '$.crew', 'variant')) listed AS role_type, people
   WHERE source_endpoint = 'credits'
 ), people AS (
-  SELECT try_variant_get(d.doc, '$.id', 'string') AS id, 'Cast' AS role_type,
+  SELECT try_cast(try_variant_get(g.doc, '$.id', 'string') AS BIGINT) AS movie_id, role_type,
     try_variant_get(p.value, '$.name', 'string') AS person_name,
-    try_variant_get(p.value, '$.character', 'string') AS character_name,
-    try_cast(try_variant_get(p.value, '$.order', 'string') AS INT) AS cast_order
-  FROM docs d, LATERAL variant_explode(try_variant_get(d.doc, '$.cast', 'variant')) p
-  WHERE try_cast(try_variant_get(p.value, '$.order', 'string') AS INT) <= :last_order
-  UNION ALL
-  SELECT try_variant_get(d.doc, '$.id', 'string'), 'Director',
-    try_variant_get(p.value, '$.name', 'string'), CAST(NULL AS STRING), CAST(NULL AS INT)
-  FROM docs d, LATERAL variant_explode(try_variant_get(d.doc, '$.crew', 'variant')) p
-  WHERE try_variant_get(p.value, '$.job', 'string') = 'Director'
+    try_variant_get(p.value, '$.job', 'string') AS job,
+    CASE role_type WHEN 'Cast' THEN try_variant_get(p.value, '$.character', 'string') END AS character_name,
+    CASE role_type WHEN 'Cast' THEN try_cast(try_variant_get(p.value, '$.order', 'string') AS INT) END AS cast_order
+  FROM groups g, LATERAL variant_explode(g.people) p
 )
-SELECT DISTINCT try_cast(id AS BIGINT) AS movie_id, person_name, role_type, character_name, cast_order
-FROM people WHERE try_cast(id AS BIGINT) IS NOT NULL
+SELECT DISTINCT movie_id, person_name, role_type, character_name, cast_order FROM people
+WHERE movie_id IS NOT NULL AND CASE role_type WHEN 'Cast' THEN cast_order <= :last_order ELSE job = 'Director' END
 """
 
 

@@ -10,7 +10,7 @@ def configured(master: str | None = None, shuffle_partitions: int | None = None)
 
     On a cluster leave ``master`` to the submit command, set ``spark.checkpoint.dir`` there, and give
     ``shuffle_partitions`` generously (total shuffle bytes / 128 MB): adaptive execution merges what is
-    too small, but it cannot split a shuffle that is not skewed and merely too coarse.
+    too small, but it cannot split a shuffle that is not skewed and merely too coarse. Memory is left to the caller.
     """
     builder = (
         SparkSession.builder.appName("stratalake")
@@ -23,7 +23,7 @@ def configured(master: str | None = None, shuffle_partitions: int | None = None)
         .config("spark.ui.enabled", "false")
     )
     if master is not None:
-        builder = builder.master(master).config("spark.driver.memory", "16g")
+        builder = builder.master(master)
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         # Several splits per core even out documents that compress differently.

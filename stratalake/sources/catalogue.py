@@ -7,12 +7,15 @@ copies as it has line items and no group is ever collected into one value.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BRONZE, conform
 
 # Genre ids of the part types.
+PAGE = 64
 GENRE_IDS = {"ECONOMY": 1, "LARGE": 2, "MEDIUM": 3, "PROMO": 4, "SMALL": 5, "STANDARD": 6}
 
 _LIST_FIELDS = [
@@ -201,23 +204,42 @@ def bronze(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, tables: str) -> DataFrame:
-    """Raw API responses ``source_endpoint, value`` before landing.
+    """Raw API responses ``source_endpoint, request, value`` before landing.
 
-    List endpoints answer with an envelope of results. A discover page is numbered by year, and
-    movies listed again also stand on the next page; popular pages name their movie twice; some
-    trending answers have no results at all.
+    List endpoints answer with an envelope of results. Discover is asked for year by year and numbers its pages
+    anew each time; a page has the movies of one range of ``PAGE`` ids, and movies listed again also stand on
+    the next year's page. Popular pages name their movie twice; some trending answers have no results at all, and
+    some answers to details are HTML.
     """
-    envelope = (
-        "explode(CASE e.endpoint"
-        " WHEN 'discover' THEN CASE WHEN is_relisted THEN"
-        "   array(concat('{\"page\":', listed_year, ',\"results\":[', payload, ']}'),"
-        "         concat('{\"page\":', listed_year + 1, ',\"results\":[', payload, ']}'))"
-        "   ELSE array(concat('{\"page\":', listed_year, ',\"results\":[', payload, ']}')) END"
-        " WHEN 'popular' THEN array(concat('{\"page\":1,\"results\":[', payload, ',', payload, ']}'))"
-        " ELSE array(concat('{\"page\":1,\"results\":[', payload, ']}')) END) AS value"
-    )
-    listed = _listed(spark, tables).selectExpr("e.endpoint AS source_endpoint", envelope)
-    single = _per_movie_documents(spark, tables).selectExpr("source_endpoint", "payload AS value")
-    lookups = _genre_lookups(spark, tables).selectExpr("source_endpoint", "payload AS value")
-    empty = _read(spark, tables, "events").selectExpr("'trending' AS source_endpoint", "props AS value")
-    return listed.unionByName(single).unionByName(lookups).unionByName(empty)
+    lists = _listed(spark, tables)
+    years = "explode(CASE WHEN is_relisted THEN array(listed_year, listed_year + 1) ELSE array(listed_year) END) AS year"
+    discover = (
+        lists.where("e.endpoint = 'discover'").selectExpr("movie_id", "payload", f"movie_id div {PAGE} AS page", years)
+        .groupBy("year", "page")
+        # At most PAGE results, by the ids' range.
+        .agg(F.array_join(F.array_sort(F.collect_list(F.struct("movie_id", "payload")))["payload"], ",").alias("results"))
+        .selectExpr(
+            "'discover' AS source_endpoint", "CAST(year AS STRING) AS request",
+            "concat('{\"page\":', page, ',\"results\":[', results, ']}') AS value",
+        )
+    )
+    others = lists.where("e.endpoint <> 'discover'").selectExpr(
+        "e.endpoint AS source_endpoint", "'all' AS request",
+        "concat('{\"page\":1,\"results\":[', payload, CASE WHEN e.endpoint = 'popular' THEN concat(',', payload) ELSE '' END, ']}')"
+        " AS value",
+    )
+    single = _per_movie_documents(spark, tables).selectExpr("source_endpoint", "'all' AS request", "payload AS value")
+    lookups = _genre_lookups(spark, tables).selectExpr("source_endpoint", "'all' AS request", "payload AS value")
+    empty = _read(spark, tables, "events").selectExpr("'trending' AS source_endpoint", "'all' AS request", "props AS value")
+    strays = _read(spark, tables, "pages").selectExpr(
+        "'details' AS source_endpoint", "'errors' AS request", r"translate(html, '\r\n', '  ') AS value"
+    )
+    return reduce(DataFrame.unionByName, [discover, others, single, lookups, empty, strays])
+
+
+def genre_lists(spark: SparkSession, tables: str) -> DataFrame:
+    """A ``genres`` response per brand: the genres of its parts, of which there are few."""
+    return (
+        _read(spark, tables, "part").selectExpr("p_brand AS brand", f"{_genre_id('p_type')} AS id", "p_type AS name").distinct()
+        .groupBy("brand").agg(F.array_sort(F.collect_list(F.struct("id", "name"))).alias("genres"))
+    )

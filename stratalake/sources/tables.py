@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,21 +37,62 @@ def refill_table(df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+# A folder that a stream has written is read through the stream's own log and shows nothing else. So a
+# bronze table has one folder for batches and one for streams, and readers take both.
+BATCH_FOLDER, STREAM_FOLDER = "batch", "stream"
+DIGEST = "digest"
+
+
+def with_digest(df: DataFrame) -> DataFrame:
+    """Bronze rows with a SHA-256 over endpoint, id and payload, by which a document is known.
+
+    It is stored beside the row, so that nobody has to read old payloads to recognise a document.
+    """
+    movie_id: Column = F.coalesce(F.col("movie_id").cast("string"), F.lit(""))
+    return df.withColumn(DIGEST, F.sha2(F.concat_ws("\n", "source_endpoint", movie_id, "payload"), 256))
+
+
 def append_bronze(df: DataFrame, path: str, schema: T.StructType) -> None:
-    writer = conform(df, schema).write.mode("append").options(**WRITE_OPTIONS)
-    writer.partitionBy("source_endpoint").parquet(path)
+    writer = with_digest(conform(df, schema)).write.mode("append").options(**WRITE_OPTIONS)
+    writer.partitionBy("source_endpoint").parquet(f"{path}/{BATCH_FOLDER}")
 
 
 def overwrite_bronze(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Replace the endpoints found in the frame; the folders of other endpoints stay."""
+    """Replace the endpoints found in the frame; the folders of other endpoints stay.
+
+    Rows that a stream has landed can't be replaced this way, and a table with any is refused.
+    """
+    if _part(df.sparkSession, path, STREAM_FOLDER, schema) is not None:
+        raise ValueError(f"{path} holds rows landed by a stream; land the endpoint into another table")
     (
-        conform(df, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .options(**WRITE_OPTIONS).partitionBy("source_endpoint").parquet(path)
+        with_digest(conform(df, schema)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .options(**WRITE_OPTIONS).partitionBy("source_endpoint").parquet(f"{path}/{BATCH_FOLDER}")
     )
 
 
+def _part(spark: SparkSession, path: str, folder: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(f"{path}/{folder}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _parts(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    parts = [_part(spark, path, folder, schema) for folder in (BATCH_FOLDER, STREAM_FOLDER)]
+    found = [part for part in parts if part is not None] or [spark.createDataFrame([], schema)]
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+
+
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+    """All rows of a bronze table, however they were landed; none where there is no table yet."""
+    return _parts(spark, path, schema)
+
+
+def landed_digests(spark: SparkSession, path: str) -> DataFrame:
+    """``digest`` and endpoint of the documents in a bronze table; reads no payload."""
+    return _parts(spark, path, T.StructType().add(DIGEST, T.StringType()).add("source_endpoint", T.StringType()))
 
 
 def by_endpoint(bronze: DataFrame, *endpoints: str) -> DataFrame:
@@ -56,16 +100,14 @@ def by_endpoint(bronze: DataFrame, *endpoints: str) -> DataFrame:
     return bronze.where(F.col("source_endpoint").isin(*endpoints))
 
 
-def unseen_documents(batch: DataFrame, landed: DataFrame) -> DataFrame:
-    """Rows of a batch whose document has not landed yet, each once.
+def unseen_documents(batch: DataFrame, known: DataFrame, store: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows of a batch whose document is not among the ``known`` digests yet, each once.
 
-    A document is known by a SHA-256 over endpoint, id and payload. It is one column without NULLs,
-    so folding the copies (on the map side first) and the anti join share one shuffle of the batch;
-    of the landed table only digests move.
+    Digests alone are compared, those of the batch's own endpoints with those landed before; only then are the
+    payloads of what is new looked at, and copies fold on the map side.
     """
-    digest = F.sha2(
-        F.concat_ws("\n", "source_endpoint", F.coalesce(F.col("movie_id").cast("string"), F.lit("")), "payload"), 256
-    ).alias("digest")
-    new = batch.select("*", digest).dropDuplicates(["digest"])
-    known = landed.select(digest).distinct()
-    return new.join(known, "digest", "left_anti").select(*batch.columns)
+    marked = with_digest(batch)
+    digests = marked.select("source_endpoint", DIGEST).distinct()
+    fresh = store(digests.join(known, ["source_endpoint", DIGEST], "left_anti"))
+    new = marked.join(fresh.select(DIGEST), DIGEST, "left_semi").dropDuplicates([DIGEST])
+    return new.select(*batch.columns)

@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-_own_folders: dict[str, str] = {}
-
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; only a session that runs on this machine may fall back to a local one."""
+    """The folder named in ``spark.checkpoint.dir``, or one in the warehouse, which executors share as well."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    session = spark.sparkContext.applicationId
-    if session not in _own_folders:
-        _own_folders[session] = tempfile.mkdtemp(prefix="stratalake-")
-    return _own_folders[session]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stages"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

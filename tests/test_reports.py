@@ -1,13 +1,13 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from conftest import rows_of
 
 from stratalake.functions import measures
 from stratalake.plans import quality, reports
-from stratalake.schemas import GOLD, SILVER
+from stratalake.schemas import BRONZE, GOLD, SILVER
 
 
 @pytest.fixture
@@ -177,3 +177,19 @@ def test_outliers(spark):
     movies = spark.createDataFrame(rows, SILVER["movies"])
     assert rows_of(quality.outliers(movies), "movie_id", "odd_runtime", "below_budget") == [
         (98, True, False), (99, False, True)]
+
+
+def test_data_as_of_is_the_last_ingestion_and_not_the_last_winner(spark):
+    fact = spark.createDataFrame([], GOLD["fact_movie"])
+    bronze = spark.createDataFrame([(1, datetime(2024, 1, 2), "x", "details"), (1, datetime(2024, 1, 6), "y", "trending")], BRONZE)
+    assert reports.overview_kpis(fact, bronze).first().data_as_of == datetime(2024, 1, 6)
+
+
+def test_performer_shares_are_of_the_group(spark):
+    blank = dict.fromkeys(GOLD["fact_movie"].fieldNames())
+    fact = spark.createDataFrame([{**blank, "movie_key": k, "language_key": 1, "budget": 5, "roi": float(k)} for k in (1, 2)], GOLD["fact_movie"])
+    bridge = spark.createDataFrame([(1, 7)], GOLD["bridge_movie_genre"])
+    genres = spark.createDataFrame([(7, 70, "g")], GOLD["dim_genre"])
+    languages = spark.createDataFrame([(1, "EN")], GOLD["dim_language"])
+    found = rows_of(reports.performer_profile(fact, bridge, genres, languages), "performers", "trait", "value", "share")
+    assert ("top", "language", "EN", 1.0) in found and ("bottom", "genre", "g", 0.5) in found

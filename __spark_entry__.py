@@ -375,7 +375,7 @@ def kpi_studio_performance(spark, folder):
 
 def dq_report(spark, folder):
     lake = _lake(spark, folder)
-    return quality.report(lake.silver_tables(), lake.gold_tables())
+    return quality.report(lake.bronze, lake.silver_tables(), lake.gold_tables())
 
 
 def outliers(spark, folder):

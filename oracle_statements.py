@@ -243,7 +243,34 @@ def _dq() -> str:
         "movies_duplicate_id":
             "SELECT count(*) FROM (SELECT movie_id FROM movies GROUP BY movie_id HAVING count(*) > 1)",
     }
-    names = [*_CLEAN_RULES, "silver_genre_unknown", *_TEXT_RULES]
+    null = {
+        "movies_null_id": ("movies", "movie_id"), "fact_null_key": ("fact_movie", "movie_key"),
+        "genres_null_id": ("genres", "genre_id"), "movie_genres_null_id": ("movie_genres", "genre_id"),
+        "movie_companies_null_name": ("movie_companies", "company_name"),
+        "movie_languages_null_name": ("movie_languages", "language_name"),
+        "movie_cast_null_name": ("movie_cast", "person_name"), "dim_language_null_key": ("dim_language", "language_key"),
+        "dim_genre_null_key": ("dim_genre", "genre_key"), "bronze_null_endpoint": ("raw_movies", "source_endpoint"),
+        "bronze_null_ingested_at": ("raw_movies", "ingested_at"),
+    }
+    twice = {
+        "genres_duplicate_id": ("genres", "genre_id"), "fact_duplicate_key": ("fact_movie", "movie_key"),
+        "dim_movie_duplicate_key": ("dim_movie", "movie_key"), "dim_movie_duplicate_movie": ("dim_movie", "movie_id"),
+        "dim_date_duplicate_key": ("dim_date", "date_key"), "dim_date_duplicate_date": ("dim_date", "full_date"),
+        "dim_language_duplicate_code": ("dim_language", "language_code"),
+        "dim_language_duplicate_key": ("dim_language", "language_key"),
+        "dim_genre_duplicate_id": ("dim_genre", "genre_id"), "dim_genre_duplicate_key": ("dim_genre", "genre_key"),
+        "bridge_duplicate_pair": ("bridge_movie_genre", "movie_key, genre_key"),
+    }
+    counted |= {rule: f"SELECT count(*) FROM {t} WHERE {c} IS NULL" for rule, (t, c) in null.items()}
+    counted |= {
+        rule: f"SELECT count(*) FROM (SELECT {c} FROM {t} GROUP BY {c} HAVING count(*) > 1)" for rule, (t, c) in twice.items()
+    }
+    counted |= {
+        "bronze_null_payload":
+            "SELECT (SELECT count(*) FROM pages WHERE html IS NULL) + (SELECT count(*) FROM events WHERE props IS NULL)",
+        "dim_date_before_film": "SELECT count(*) FROM dim_date WHERE calendar_year < 1870",
+    }
+    names = dict.fromkeys([*_CLEAN_RULES, "silver_genre_unknown", *_TEXT_RULES, *counted])
     return " UNION ALL ".join(
         f"SELECT '{name}' AS rule, CAST(({counted.get(name, 'SELECT 0')}) AS BIGINT) AS violations"
         for name in names

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,37 +65,65 @@ def _orphans(df: DataFrame, parent: DataFrame, key: str, rule: str) -> DataFrame
     )
 
 
-def report(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:
+#: Films are not older; a stray year would make the calendar dimension long.
+FIRST_YEAR = 1870
+
+
+def report(bronze: DataFrame, silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFrame:
     """One row per rule with its number of violations; zero everywhere means the layers are sound.
 
     ``silver_genre_unknown`` may be above zero: silver keeps ids the lookup lacks, the gold bridge
-    does not.
+    does not. So may the rules on NULL items of bridges, where a document names an element without a name.
+    All conditions on rows of a table are counted in one pass over it.
     """
     movies, fact = silver["movies"], gold["fact_movie"]
     c = F.col
     unknown = c("budget").isNull() | c("revenue").isNull()
-    parts = [
-        _violations(movies, {
+    null = lambda *names: reduce(or_, [c(name).isNull() for name in names])
+    rules = {
+        "movies": {
             "movies_zero_budget": c("budget") == 0,
             "movies_zero_revenue": c("revenue") == 0,
             "movies_zero_runtime": c("runtime") == 0,
             "movies_rating_without_votes": (c("vote_count") == 0) & c("vote_average").isNotNull(),
-            "movies_null_id": c("movie_id").isNull(),
+            "movies_null_id": null("movie_id"),
+        },
+        "genres": {"genres_null_id": null("genre_id")},
+        "movie_genres": {"movie_genres_null_id": null("genre_id")},
+        "movie_companies": {"movie_companies_null_name": null("company_name")},
+        "movie_languages": {"movie_languages_null_name": null("language_name")},
+        "movie_cast": {"movie_cast_null_name": null("person_name")},
+    }
+    for table, limits in TEXT_LIMITS.items():
+        rules[table] |= {f"{table}_{name}_too_long": F.length(name) > size for name, size in limits.items()}
+    parts = [
+        _violations(bronze, {
+            "bronze_null_endpoint": null("source_endpoint"),
+            "bronze_null_ingested_at": null("ingested_at"),
+            "bronze_null_payload": null("payload"),
         }),
+        *[_violations(silver[table], checks) for table, checks in rules.items()],
         _violations(fact, {
             "fact_null_key": c("movie_key").isNull(),
             "fact_profit_not_null_safe": c("profit").isNull() != unknown,
             "fact_roi_not_null_safe": c("roi").isNull() != unknown,
         }),
-        _violations(gold["dim_date"], {"dim_date_null_key": c("date_key").isNull() | c("full_date").isNull()}),
-        _violations(gold["bridge_movie_genre"], {
-            "bridge_null_key": c("movie_key").isNull() | c("genre_key").isNull(),
+        _violations(gold["dim_date"], {
+            "dim_date_null_key": null("date_key", "full_date"),
+            "dim_date_before_film": c("calendar_year") < FIRST_YEAR,
         }),
+        _violations(gold["dim_language"], {"dim_language_null_key": null("language_key")}),
+        _violations(gold["dim_genre"], {"dim_genre_null_key": null("genre_key")}),
+        _violations(gold["bridge_movie_genre"], {"bridge_null_key": null("movie_key", "genre_key")}),
         _duplicates(movies, ["movie_id"], "movies_duplicate_id"),
         _duplicates(silver["genres"], ["genre_id"], "genres_duplicate_id"),
         _duplicates(fact, ["movie_key"], "fact_duplicate_key"),
         _duplicates(gold["dim_movie"], ["movie_key"], "dim_movie_duplicate_key"),
+        _duplicates(gold["dim_movie"], ["movie_id"], "dim_movie_duplicate_movie"),
         _duplicates(gold["dim_date"], ["date_key"], "dim_date_duplicate_key"),
+        _duplicates(gold["dim_date"], ["full_date"], "dim_date_duplicate_date"),
+        _duplicates(gold["dim_language"], ["language_key"], "dim_language_duplicate_key"),
+        _duplicates(gold["dim_genre"], ["genre_key"], "dim_genre_duplicate_key"),
         _duplicates(gold["dim_language"], ["language_code"], "dim_language_duplicate_code"),
         _duplicates(gold["dim_genre"], ["genre_id"], "dim_genre_duplicate_id"),
         _duplicates(gold["bridge_movie_genre"], ["movie_key", "genre_key"], "bridge_duplicate_pair"),
@@ -102,9 +133,6 @@ def report(silver: dict[str, DataFrame], gold: dict[str, DataFrame]) -> DataFram
         _orphans(gold["bridge_movie_genre"], gold["dim_movie"], "movie_key", "bridge_movie_unknown"),
         _orphans(gold["bridge_movie_genre"], gold["dim_genre"], "genre_key", "bridge_genre_unknown"),
     ]
-    for table, limits in TEXT_LIMITS.items():
-        checks = {f"{table}_{name}_too_long": F.length(name) > size for name, size in limits.items()}
-        parts.append(_violations(silver[table], checks))
     return union_all(parts)
 
 

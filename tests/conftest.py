@@ -19,7 +19,7 @@ NOON = datetime(2024, 1, 1, 12)
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     builder = configured("local[4]", shuffle_partitions=4).config("spark.checkpoint.dir", f"{shared}/stages")
-    session = builder.config("spark.sql.warehouse.dir", f"{shared}/warehouse").getOrCreate()
+    session = builder.config("spark.driver.memory", "6g").config("spark.sql.warehouse.dir", f"{shared}/warehouse").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

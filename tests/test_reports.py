@@ -133,12 +133,14 @@ def test_quality_rules_find_planted_faults(spark, star):
         "movies": movies,
         "genres": spark.createDataFrame([(1, "a"), (1, "b")], SILVER["genres"]),
         "movie_genres": spark.createDataFrame([(1, 1), (5, 7), (5, 7)], SILVER["movie_genres"]),
-        "movie_companies": spark.createDataFrame([(1, "c"), (6, "c")], SILVER["movie_companies"]),
+        "movie_companies": spark.createDataFrame([(1, "c"), (6, "c"), (1, None)], SILVER["movie_companies"]),
+        "movie_languages": spark.createDataFrame([(1, None)], SILVER["movie_languages"]),
         "movie_cast": spark.createDataFrame([(1, "p" * 201, "Cast", None, 1)], SILVER["movie_cast"]),
     }
     gold = {"fact_movie": fact, "dim_date": days, "bridge_movie_genre": bridge, "dim_genre": dim_genre,
             "dim_movie": dim_movie, "dim_language": spark.createDataFrame([], GOLD["dim_language"])}
-    found = {r.rule: r.violations for r in quality.report(silver, gold).collect() if r.violations}
+    bronze = spark.createDataFrame([(1, None, None, "details"), (1, datetime(2024, 1, 1), "x", None)], BRONZE)
+    found = {r.rule: r.violations for r in quality.report(bronze, silver, gold).collect() if r.violations}
     assert found == {
         "movies_zero_budget": 1, "movies_zero_revenue": 1, "movies_zero_runtime": 1,
         "movies_rating_without_votes": 1, "movies_duplicate_id": 1, "movies_title_too_long": 1,
@@ -146,6 +148,8 @@ def test_quality_rules_find_planted_faults(spark, star):
         "fact_roi_not_null_safe": 1, "bridge_duplicate_pair": 1, "bridge_movie_unknown": 1,
         "bridge_genre_unknown": 1, "silver_genre_of_unknown_movie": 2, "silver_genre_unknown": 2,
         "silver_company_of_unknown_movie": 1, "movie_cast_person_name_too_long": 1,
+        "movie_companies_null_name": 1, "movie_languages_null_name": 1, "dim_movie_duplicate_movie": 1,
+        "bronze_null_endpoint": 1, "bronze_null_ingested_at": 1, "bronze_null_payload": 1,
     }
 
 

@@ -188,6 +188,8 @@ def _by_rarest_members(rest: DataFrame, sets: DataFrame, compared: DataFrame) ->
     with the same hub, they share no more than one of them shares with it, plus what both have of shared members
     that the hub lacks.
     """
+    # Only a hub that is counted here itself makes all it has in common with others shared members.
+    compared = compared.join(rest.select(F.col("class").alias("v")), "v", "left_semi")
     hub = compared.groupBy(F.col("u").alias("class")).agg(F.max(F.struct("common", F.col("v").alias("hub"))).alias("h"))
     hub = hub.union(compared.select(F.col("v").alias("class"), F.struct(F.lit(1 << 30).alias("common"), F.col("v").alias("hub")).alias("h")).distinct())
     hub = hub.groupBy("class").agg(F.max("h").alias("h"))

@@ -210,7 +210,12 @@ def test_bin_slack():
     assert sum(times for _, times in plan) <= 1.1 * sum(n * c for n, c in counts.items()) / 64 + 1
 
 
-def test_lm(docs, empty):
+@pytest.fixture
+def few_rounds(monkeypatch):
+    monkeypatch.setattr(lm, "ROUNDS", 15)
+
+
+def test_lm(docs, empty, few_rounds):
     scorer, counts = lm.train(docs)
     found = lm.score(docs, scorer, counts).collect()
     assert len(found) == len(TEXTS) and all(r["score"] < 0 and r["n_known"] == r["n_tokens"] for r in found)
@@ -222,7 +227,7 @@ def test_lm(docs, empty):
     assert all(r["base_score"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) for r in found)
 
 
-def test_lm_is_normalised(spark):
+def test_lm_is_normalised(spark, few_rounds):
     """The probabilities of all texts of one known or unknown word, by symbol, add up to at most one."""
     texts = frame(spark, [(i, t) for i, t in enumerate(["a b", "b a", "a a", "c b"] * 5)])
     scorer, counts = lm.train(texts)

@@ -292,8 +292,7 @@ def silver_roundtrip(spark, folder):
 
 
 def _sql_path(spark, folder):
-    bronze = _lake(spark, folder).bronze
-    return {name: getattr(silver_sql, name)(bronze) for name in SILVER}
+    return silver_sql.all_tables(_lake(spark, folder).bronze, store)
 
 
 def reconcile_counts(spark, folder):

@@ -6,6 +6,8 @@ the contract. The VARIANT is made by a lateral view, so that conditions on it do
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from ..functions.clean import WHITE_SPACE
@@ -72,6 +74,23 @@ FROM (
 WHERE try_variant_get(d.doc, '$.id', 'string') IS NOT NULL AND NOT is_variant_null(item.value)
 """
 
+_ALL_ITEMS = """
+SELECT try_cast(try_variant_get(d.doc, '$.id', 'string') AS BIGINT) AS movie_id, field,
+  try_variant_get(item.value, '$.id', 'string') AS item_id, try_variant_get(item.value, '$.name', 'string') AS item_name
+FROM (
+    SELECT doc, field, items FROM {bronze}
+    LATERAL VIEW explode(array(try_parse_json(payload))) parsed AS doc
+    LATERAL VIEW stack(3, 'genres', try_variant_get(doc, '$.genres', 'variant'),
+      'production_companies', try_variant_get(doc, '$.production_companies', 'variant'),
+      'spoken_languages', try_variant_get(doc, '$.spoken_languages', 'variant')) listed AS field, items
+    WHERE source_endpoint = 'details'
+  ) d,
+  LATERAL variant_explode(d.items) item
+WHERE try_variant_get(d.doc, '$.id', 'string') IS NOT NULL AND NOT is_variant_null(item.value)
+"""
+
+_BRIDGE = "SELECT DISTINCT movie_id, {value} AS {name} FROM {{items}} WHERE field = '{field}'"
+
 _GENRES = """
 SELECT genre_id, max_by(genre_name, struct(ingested_at, genre_name)) AS genre_name
 FROM (
@@ -106,6 +125,23 @@ WHERE movie_id IS NOT NULL AND CASE role_type WHEN 'Cast' THEN cast_order <= :la
 """
 
 
+def all_tables(bronze: DataFrame, store: Callable[[DataFrame], DataFrame]) -> dict[str, DataFrame]:
+    """Every table of this path; the three bridges share one written pass over the documents."""
+    items = store(_run(_ALL_ITEMS, bronze))
+
+    def bridge(value: str, name: str, field: str) -> DataFrame:
+        return bronze.sparkSession.sql(_BRIDGE.format(value=value, name=name, field=field), items=items)
+
+    return {
+        "movies": movies(bronze),
+        "genres": genres(bronze),
+        "movie_genres": bridge("try_cast(item_id AS BIGINT)", "genre_id", "genres"),
+        "movie_companies": bridge("item_name", "company_name", "production_companies"),
+        "movie_languages": bridge("item_name", "language_name", "spoken_languages"),
+        "movie_cast": movie_cast(bronze),
+    }
+
+
 def _run(text: str, bronze: DataFrame, **args) -> DataFrame:
     return bronze.sparkSession.sql(text, args=args, bronze=bronze)
 

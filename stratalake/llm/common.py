@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWER_BYTES = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
-#: Rows handled at a time inside a Python task; Spark bounds the bytes of a batch by itself.
-ROWS_AT_ONCE = 1024
+#: Rows handled at a time inside a Python task, and bytes handed over to it at a time.
+ROWS_AT_ONCE, BATCH_BYTES = 1024, 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +42,18 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(made)))
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """The same rows, of which the session hands at most ``BATCH_BYTES`` to a Python task at a time.
+
+    A batch is held by the executor and by the task, and neither gives the memory back soon. A setting of the
+    session's own stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING, None) is None:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
 def map_rows(
     df: DataFrame, make: Callable[[], Callable[..., Iterator[tuple]]], schema: str, binary: tuple[str, ...] = ()
 ) -> DataFrame:
@@ -72,7 +85,7 @@ def map_rows(
                         [pa.array(c, type=f.type) for c, f in zip(columns, out, strict=True)], schema=out
                     )
 
-    return df.mapInArrow(run, schema)
+    return in_small_batches(df).mapInArrow(run, schema)
 
 
 def keep_rows(df: DataFrame, make: Callable[[], Callable[..., list[bool]]], columns: tuple[str, ...]) -> DataFrame:
@@ -85,4 +98,4 @@ def keep_rows(df: DataFrame, make: Callable[[], Callable[..., list[bool]]], colu
                 part = batch.slice(at, ROWS_AT_ONCE)
                 yield part.filter(pa.array(keep(*[part.column(c).to_pylist() for c in columns]), pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return in_small_batches(df).mapInArrow(run, df.schema)

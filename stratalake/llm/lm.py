@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import store
-from .common import LOWER_BYTES, map_rows
+from .common import LOWER_BYTES, in_small_batches, map_rows
 
 WORDS, BUCKETS = 767, 256
 END = b""  # no word is empty
@@ -90,7 +90,7 @@ def _gathered(texts: DataFrame, schema: str, count, emit) -> DataFrame:
         if held:
             yield pa.RecordBatch.from_arrays(emit(held), names=names)
 
-    return texts.select("text").mapInArrow(run, schema)
+    return in_small_batches(texts.select("text")).mapInArrow(run, schema)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -129,7 +129,7 @@ def context_counts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             part = found[at : at + GATHERED]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["code", "n"])
 
-    pairs = texts.select("text").mapInArrow(run, "code bigint, n bigint")
+    pairs = in_small_batches(texts.select("text")).mapInArrow(run, "code bigint, n bigint")
     return pairs.groupBy("code").agg(F.sum("n").alias("n"))
 
 

@@ -39,7 +39,7 @@ SHINGLE, PERCENT = 3, 85
 COORDINATES, MATCHES = 48, 24
 PREFIX = COORDINATES - MATCHES + 1
 #: Words whose hash a task remembers; beyond that it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Rounds of hubs go on while trying all pairs of a list would cost more than so many per posting and at least
 #: so large a share of the pairs with hubs are links.
 PAIRS_PER_POSTING, PRODUCTIVE = 2, 0.5

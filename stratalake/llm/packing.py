@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keys import dense_key
 from ..sources.workspace import store
+from .common import in_small_batches
 
 if sys.byteorder != "little" or array("I").itemsize != 4:
     raise ImportError("ids are read as little-endian 32-bit numbers")
@@ -129,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, with_ids:
                 )
 
     schema = PIECES + (", ids array<bigint>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return in_small_batches(docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))).mapInArrow(run, schema)
 
 
 def closest(counts: dict[int, int], capacity: int) -> dict[int, int]:

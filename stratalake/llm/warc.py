@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import fresh_path, store
+from .common import in_small_batches
 
 REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
@@ -164,7 +165,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if out is not None:
             yield listed()
 
-    return store(_first_pages(pages).mapInArrow(run, "path string, records bigint, bytes bigint"))
+    return store(in_small_batches(_first_pages(pages)).mapInArrow(run, "path string, records bigint, bytes bigint"))
 
 
 def read_archives(archives: DataFrame) -> DataFrame:

@@ -159,7 +159,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows, with all their columns, that are not contaminated."""
-    bad = contamination(docs, items).where("contaminated").select(F.col("doc").alias("_doc")).distinct()
+    # Written first, so that its size is known: while it is small, the texts need not be moved for the join.
+    bad = store(contamination(docs, items).where("contaminated").select(F.col("doc").alias("_doc")).distinct())
     return docs.join(bad, F.xxhash64(docs["doc_id"], docs["text"]) == bad["_doc"], "left_anti")
 
 

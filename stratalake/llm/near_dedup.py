@@ -12,8 +12,10 @@ a probability of 2e-10, so pairs below that are left out unseen:
 
 Links are then confirmed on the full sets. A list of many near copies never turns into all its pairs: rounds pair
 every member with one hub per list, join what is linked into components, and go on with lists that still hold
-several components, as long as that gets on. What is left is paired across components by the same kind of join, now
-over the shingles themselves: sets of which 85 in 100 members agree share one of the rarest 15 in 100 of each, which
+several components, as long as that gets on. From the second round on a list is dealt out by sizes, so that sets
+too unlike in size to be similar get hubs of their own and don't hold a list open; a round that links nothing new is
+the last of its kind. What is left is paired across components by the same kind of join, now over the shingles
+themselves: sets of which 85 in 100 members agree share one of the rarest 15 in 100 of each, which
 tells apart the many texts that agree in half of their coordinates. No pair that shares a posting is left untried.
 
 Words are runs of characters other than ASCII white space, A-Z lower-cased. A text of fewer than three words is
@@ -24,11 +26,12 @@ kept. An empty table gives no rows. Further columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import store
@@ -43,6 +46,8 @@ REMEMBERED = 200_000
 #: Rounds of hubs go on while trying all pairs of a list would cost more than so many per posting and at least
 #: so large a share of the pairs with hubs are links.
 PAIRS_PER_POSTING, PRODUCTIVE = 2, 0.5
+#: Logarithm of the ratio of sizes in a bucket: similar sets are in the same or in neighbouring ones, also when rounded.
+BUCKET = 1.0001 * math.log(100 / PERCENT)
 
 _rng = np.random.default_rng(20240601)
 _PLACES = _rng.integers(1, 1 << 63, SHINGLE, dtype=np.uint64) | np.uint64(1)
@@ -163,11 +168,25 @@ def _similar(compared: DataFrame) -> DataFrame:
     return compared.where(100 * F.col("common") >= PERCENT * (F.col("both") - F.col("common"))).select("u", "v")
 
 
+def _near(n: Column, other: Column) -> Column:
+    """Whether sets of these sizes can be similar."""
+    return (n * 100 >= PERCENT * other) & (other * 100 >= PERCENT * n)
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
     """Distinct pairs ``u, v`` of a class and another one, leaving out sizes that are too unlike."""
-    n, other = F.col("n"), F.col("other_n")
-    near = (n * 100 >= PERCENT * other) & (other * 100 >= PERCENT * n)
-    return rows.where(near).select(F.col("class").alias("u"), F.col("other_class").alias("v")).distinct()
+    return rows.where(_near(F.col("n"), F.col("other_n"))).select(F.col("class").alias("u"), F.col("other_class").alias("v")).distinct()
+
+
+def _by_size(now: DataFrame) -> DataFrame:
+    """The lists that hold several components, each as lists of two neighbouring buckets of sizes.
+
+    Every two classes of a list whose sizes allow a link meet in at least one of the new ones.
+    """
+    several = now.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
+    bucket = F.floor(F.log("n") / BUCKET)
+    parts = F.array(F.xxhash64("key", bucket), F.xxhash64("key", bucket + 1))
+    return now.join(several.select("key"), "key").withColumn("key", F.explode(parts))
 
 
 def _other(lists: DataFrame, *columns: str) -> DataFrame:
@@ -229,16 +248,19 @@ def _links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
             found = components(links).withColumnRenamed("node", "class")
             now = lists.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
         now = store(now)
+        if turn:
+            now = store(_by_size(now))
         # First the class with most company, which is in the middle of its near copies; then another each time.
         order = F.struct(F.col("company") * (-1 if turn == 0 else 0), F.xxhash64("class", F.lit(turn)))
         parts = now.groupBy("key", "component").agg(
-            F.count("*").alias("members"), F.min(F.struct(order.alias("order"), "class", "component", "n")).alias("hub")
+            F.count("*").alias("members"), F.min(F.struct(order.alias("order"), "class", "component", "n")).alias("hub"),
+            F.min("n").alias("least"), F.max("n").alias("most"),
         )
         members = F.col("members")
         open_lists = store(parts.groupBy("key").agg(
             F.count("*").alias("components"), F.sum("members").alias("members"), F.min("hub").alias("hub"),
-            F.sum(members * members).alias("inside"),
-        ).where("components > 1"))
+            F.sum(members * members).alias("inside"), F.max("least").alias("least"), F.min("most").alias("most"),
+        ).where((F.col("components") > 2) | (F.col("components") == 2) & (F.col("most") * 100 >= PERCENT * F.col("least"))))
         across = F.sum((members * members - F.col("inside")) / 2)
         cost = open_lists.agg(across.alias("pairs"), F.sum("members").alias("postings")).first()
         if not cost["postings"]:
@@ -259,7 +281,10 @@ def _links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
         if few or not productive:
             return links
         compared = tried if compared is None else compared.union(tried)
-        turn, productive = turn + 1, more.count() >= PRODUCTIVE * pairs.count()
+        n_pairs, n_more = pairs.count(), more.count()
+        # Only the first hubs can be too unlike in size for all others, as its lists aren't dealt out by sizes.
+        productive = n_more >= PRODUCTIVE * n_pairs if n_pairs else turn == 0
+        turn += 1
 
 
 def _same_documents(linkable: DataFrame, classes: DataFrame) -> DataFrame | None:

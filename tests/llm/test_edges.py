@@ -118,6 +118,25 @@ def test_many_near_copies(spark):
     assert rows(found, "doc_id", "n_shingles", "component_id", "kept") == sorted(brute.near_duplicates(rows_in), key=repr)
 
 
+def test_families_too_unlike_in_size(spark, monkeypatch):
+    """Near copies of a text, and of the same text with a long block: many shared lists, but no link across."""
+    rng, rows_in, rounds = np.random.default_rng(7), [], []
+    for i in range(60):
+        words = [f"w{k}" for k in range(400)] + [f"y{k}" for k in range(90)] * (i % 2)
+        words[rng.integers(400)] = f"x{i}"
+        rows_in.append((i, " ".join(words)))
+
+    def counted(*args, components=near_dedup.components):
+        rounds.append(args)
+        assert len(rounds) < 12, "rounds without end"
+        return components(*args)
+
+    monkeypatch.setattr(near_dedup, "components", counted)
+    found = near_dedup.groups(frame(spark, rows_in))
+    assert rows(found, "doc_id", "n_shingles", "component_id", "kept") == sorted(brute.near_duplicates(rows_in), key=repr)
+    assert {r["component_id"] for r in found.collect()} == {0, 1}
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     edges = [tuple(map(int, e)) for e in rng.integers(0, 300, (220, 2))] + [(400 + i, 401 + i) for i in range(40)]

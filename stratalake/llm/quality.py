@@ -1,9 +1,10 @@
 """Quality rules by compression bands.
 
-Repetitive text compresses too well and noise too badly. Two zstandard ratios are taken of every text: of the
-whole, and the mean over its fixed chunks of ``CHUNK`` bytes, which a repetition over long distances does not
-touch but noise does. How well clean prose compresses depends on its length, since a short text has had little
-time to repeat anything: each ratio has its own lower and upper limit per band of lengths.
+Repetitive text compresses too well and noise too badly. Zstandard ratios are taken of every text: of the whole,
+and of each of its fixed chunks of ``CHUNK`` bytes. The best and the worst chunk are judged, so that a part that is
+noise or repetition counts however much clean text stands around it. How well clean prose compresses depends on its
+length, since a short text has had little time to repeat anything: each ratio has its own lower and upper limit per
+band of lengths, a little beyond what clean text of that length reaches.
 
 Base counts are worked out beside it and can reject by themselves. Words are runs of characters other than
 ASCII white space. Null and empty texts have no words and are rejected. Copies get equal answers, an empty
@@ -22,14 +23,17 @@ from .common import map_rows
 
 LEVEL = 3
 CHUNK = 2048
-#: Bytes up to which a band reaches, then lowest and highest compressed share of the whole and of chunks.
+#: Bytes up to which a band reaches, then lowest and highest compressed share of the whole and of any chunk.
 BANDS = (
-    (256, 0.34, 1.00, 0.34, 1.00),
-    (512, 0.33, 0.88, 0.33, 0.88),
-    (1024, 0.33, 0.80, 0.33, 0.80),
-    (2048, 0.32, 0.72, 0.32, 0.72),
-    (8192, 0.30, 0.65, 0.32, 0.70),
-    (float("inf"), 0.25, 0.60, 0.32, 0.70),
+    (192, 0.40, 0.93, 0.40, 0.93),
+    (256, 0.40, 0.88, 0.40, 0.88),
+    (384, 0.40, 0.78, 0.40, 0.78),
+    (512, 0.40, 0.74, 0.40, 0.74),
+    (768, 0.40, 0.72, 0.40, 0.72),
+    (1024, 0.40, 0.68, 0.40, 0.68),
+    (2048, 0.38, 0.61, 0.38, 0.61),
+    (8192, 0.34, 0.55, 0.36, 0.60),
+    (float("inf"), 0.25, 0.50, 0.36, 0.60),
 )
 LEAST_WORDS, REPEATED_PERCENT, SPAN = 20, 30, 8
 
@@ -69,23 +73,23 @@ def measures(text: bytes) -> tuple[int, int, int, int, int]:
     return len(words), characters, len(_SYMBOLS.findall(text)), len(lines) - len(set(lines)), repeated_words(words)
 
 
-def compressed_shares(text: bytes, compressor) -> tuple[float, float]:
-    """Compressed size as a share of the text, for the whole and averaged over its chunks.
+def compressed_shares(text: bytes, compressor) -> tuple[float, float, float, float]:
+    """Compressed size as a share of the text: of the whole, and the mean, least and most over its chunks.
 
     A last chunk shorter than half of ``CHUNK`` is part of the one before.
     """
     whole = len(compressor.compress(text)) / len(text)
     count = max(1, (len(text) + CHUNK // 2) // CHUNK)
     if count == 1:
-        return whole, whole
+        return whole, whole, whole, whole
     ends = [CHUNK * i for i in range(count)] + [len(text)]
-    sizes = [len(compressor.compress(text[a:b])) / (b - a) for a, b in zip(ends, ends[1:], strict=False)]
-    return whole, sum(sizes) / count
+    shares = [len(compressor.compress(text[a:b])) / (b - a) for a, b in zip(ends, ends[1:], strict=False)]
+    return whole, sum(shares) / count, min(shares), max(shares)
 
 
-def in_band(length: int, whole: float, chunks: float) -> bool:
+def in_band(length: int, whole: float, least: float, most: float) -> bool:
     _, low, high, chunk_low, chunk_high = next(band for band in BANDS if length <= band[0])
-    return low <= whole <= high and chunk_low <= chunks <= chunk_high
+    return low <= whole <= high and chunk_low <= least and most <= chunk_high
 
 
 def judge(docs: DataFrame) -> DataFrame:
@@ -101,15 +105,16 @@ def judge(docs: DataFrame) -> DataFrame:
                 text = text or b""
                 words, characters, symbols, lines, repeated = measures(text)
                 failed = words < LEAST_WORDS or 100 * repeated > REPEATED_PERCENT * words
-                whole, chunks = compressed_shares(text, compressor) if text else (None, None)
-                kept = not failed and in_band(len(text), whole, chunks)
-                yield doc_id, words, characters, symbols, lines, repeated, failed, whole, chunks, kept
+                whole, mean, least, most = compressed_shares(text, compressor) if text else (None,) * 4
+                kept = not failed and in_band(len(text), whole, least, most)
+                yield doc_id, words, characters, symbols, lines, repeated, failed, whole, mean, least, most, kept
 
         return step
 
     return map_rows(
         docs.select("doc_id", "text"), make,
         "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
-        "n_repeat_words bigint, base_failed boolean, whole_share double, chunk_share double, kept boolean",
+        "n_repeat_words bigint, base_failed boolean, whole_share double, chunk_share double, "
+        "least_chunk_share double, most_chunk_share double, kept boolean",
         binary=("text",),
     )

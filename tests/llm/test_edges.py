@@ -82,6 +82,23 @@ def test_quality_bands(spark):
     assert found[1]["kept"] and not found[2]["kept"] and not found[3]["kept"]
 
 
+@pytest.mark.parametrize("size", [180, 250, 380, 500, 700, 1000, 2000, 6000, 20_000])
+def test_quality_of_parts(spark, size):
+    """Prose stays; with noise for words or a part of it, or with a long repetition, it goes, whatever its length."""
+    source = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'").orderBy("doc_id")
+    words = " ".join(r["text"] for r in source.where("length(text) > 2000").limit(40).collect()).split()
+    clean = " ".join(words)[:size]
+    rng, alphabet = np.random.default_rng(11), list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+    noise = " ".join("".join(rng.choice(alphabet, 6)) for _ in range(size))
+    part, start = (size, 0) if size < 1024 else (max(size * 2 // 5, 800), size // 4)
+    noisy = clean[:start] + noise[:part] + clean[start + part :]
+    again = "ha" * min(size, 1500)
+    texts = [clean, noisy, clean[:start] + again + clean[start:]]
+    found = {r["doc_id"]: r for r in quality.judge(frame(spark, list(enumerate(texts)))).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    assert found[0]["kept"] and not found[1]["kept"] and not found[2]["kept"]
+
+
 def test_near_duplicates(spark, docs, empty):
     assert near_dedup.groups(empty).count() == 0
     base = [f"w{i}" for i in range(100)]

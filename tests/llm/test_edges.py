@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 import brute
 import numpy as np
@@ -338,3 +339,16 @@ def test_licences(spark, docs, empty):
     got = {r["doc_id"]: r["families"] for r in found.collect()}
     assert found.count() == len(TEXTS) + 3
     assert got[100] == ["mit"] and got[101] == ["proprietary"] and got[102] == [] and got[1] == [] and got[6] == []
+
+
+def test_licences_among_lines_about_licences(spark):
+    """A third of the rows hold the words of the templates, so that none of them is rare."""
+    words = sorted({w for texts in licences.TEMPLATES.values() for t in texts for w in re.findall("[a-z0-9]+", t.lower())})
+    rng, about = np.random.default_rng(17), []
+    for i in range(300):
+        about.append((i, f"note {i} about " + " ".join(rng.choice(words, 12)) if i % 3 == 0 else f"{PROSE} {i} " + " ".join(f"p{k}" for k in rng.integers(0, 50, 9))))
+    notices = [(1000 + i, f"a line of prose {i}\n{text}") for i, text in enumerate(t for texts in licences.TEMPLATES.values() for t in texts)]
+    found = {r["doc_id"]: r for r in licences.scan(frame(spark, about + notices)).collect()}
+    families = [f for f, texts in licences.TEMPLATES.items() for _ in texts]
+    assert [f for i, f in enumerate(families) if f not in found[1000 + i]["families"]] == []
+    assert sum(found[i]["n_licence_lines"] > 0 for i, _ in about) <= 3

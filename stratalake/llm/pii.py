@@ -1,11 +1,14 @@
 """Personal data: fixed kinds, and identifiers found by bootstrapping from their contexts.
 
 Base spans come from four patterns and a check of what matched. They are the seeds. A pattern of the
-bootstrapping is what stands left of a slot: the word before, or the two words before. Its instances are the
-seeds and all other words with a digit or an ``@``. Over the graph of patterns and instances two scores are worked
+bootstrapping is what stands left of a slot: the word before, or the two words before; white space, quotes, ``:`` and
+``=`` end a word, the last two being part of it. Its instances are the seeds and all other words with a digit or an
+``@``. Over the graph of patterns and instances two scores are worked
 out in turn: a pattern's is the share of all its occurrences in the corpus, whatever follows, that lead up to
 instances, each counted by its score; an instance's is the chance that at least one of its patterns is right, and a
-seed's is 1. After ``ROUNDS`` turns, words in the slot of a pattern that scores at least ``CONFIDENT`` are
+seed's is 1, any other's 0 at first. A pattern without a seed counts once ``INDUCED`` of its occurrences lead up to
+instances by what other labels say of them, so that identifiers found make labels known in their turn, over any number
+of steps. After ``ROUNDS`` turns, and as many more as trust further patterns, words in the slot of a pattern that scores at least ``CONFIDENT`` are
 identifiers of the kind ``id``. A common phrase never becomes a pattern, as hardly any of its occurrences
 lead up to a seed; a label does. Words that overlap a base span are no instances of their own.
 
@@ -30,13 +33,18 @@ _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 _IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: A word with a digit or an @; what it is compared by leaves out marks around it.
-_WORD = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: A word with a digit or an @, from where a context word ends; what it is compared by leaves out marks around it.
+_WORD = r"""(?<![^\s:="'])[^\s0-9@:="']*+[0-9@]\S*+"""
 _MARKS = r"""["'.,;:!?()\[\]{}<>*&%$#|=]"""
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 
-#: Distinct instances a pattern must have; score from which it is trusted; turns of scoring.
+#: Where a context word ends.
+_BETWEEN = r"""[\s"']+|(?<=[:=])(?=[^\s:="'])"""
+
+#: Distinct instances a pattern must have; score from which it is trusted; turns of scoring at least.
 SUPPORT, CONFIDENT, ROUNDS = 5, 0.6, 4
+#: Share of its occurrences by which other labels must vouch for a pattern without a seed.
+INDUCED = 0.2
 #: Characters left of a slot that are looked at, and the longest context word.
 LEFT, LONGEST = 200, 64
 
@@ -120,9 +128,9 @@ def _slots(matches: DataFrame) -> DataFrame:
     next_start = F.min(F.when(base, F.col("start"))).over(from_here)
     overlaps = (F.coalesce(before_end, F.lit(0)) > F.col("start")) | (F.coalesce(next_start, F.col("end")) < F.col("end"))
     kept = right.select("*", overlaps.alias("overlaps")).where(base | (~F.col("overlaps") & (F.length("value") > 0)))
-    words = F.concat(F.array(F.lit(""), F.lit("")), F.filter(F.split(F.lower("before"), r"\s+"), lambda w: w != ""))
+    words = F.concat(F.array(F.lit(""), F.lit("")), _context_words("before"))
     # Words cut off by the limit of LEFT characters are longer than any that is looked at.
-    spaced = F.col("before").rlike(r"\s$")
+    spaced = F.col("before").rlike(r"""[\s:="']$""")
     patterns = _patterns(_readable(F.element_at(words, -2)), _readable(F.element_at(words, -1)))
     return kept.select(
         "doc", "doc_id", "kind", "start", "end", "value",
@@ -130,6 +138,10 @@ def _slots(matches: DataFrame) -> DataFrame:
     )
 
 
+def _context_words(text: str) -> Column:
+    return F.filter(F.split(F.lower(text), _BETWEEN), lambda w: ~w.isin("", ":", "="))
+
+
 def _readable(word: Column) -> Column:
     """A context word; null for other instances, for what is too long, and where there is none."""
     return F.when((word != "") & (F.length(word) <= LONGEST) & ~word.rlike("[0-9@]"), word)
@@ -144,7 +156,7 @@ def _patterns(second: Column, first: Column) -> Column:
 def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     """``pattern, total``: how often each pattern stands anywhere in the texts, whatever follows it."""
     ends = patterns.select(F.substring_index("pattern", " ", -1).alias("first")).distinct()
-    texts = once(_identity(docs).select("text"), words=F.split(F.lower("text"), r"\s+"))
+    texts = once(_identity(docs).select("text"), words=_context_words("text"))
     words = texts.select("words", F.posexplode("words").alias("at", "first"))
     words = words.select("first", F.get("words", F.col("at") - 1).alias("second")).join(ends, "first", "left_semi")
     pairs = words.select(F.explode(F.array("first", F.concat("second", F.lit(" "), "first"))).alias("pattern"))
@@ -160,25 +172,35 @@ def _confident_patterns(docs: DataFrame, slots: DataFrame) -> DataFrame | None:
     edges = store(edges.groupBy("pattern", "value").agg(F.bool_or("seed").alias("seed"), F.count("*").alias("n")))
     known = edges.groupBy("pattern").agg(
         F.count("*").alias("values"), F.bool_or("seed").alias("seed"), F.sum("n").alias("n")
-    ).where((F.col("values") >= SUPPORT) & F.col("seed"))
+    ).where(F.col("values") >= SUPPORT)
     known = store(known)
-    if known.isEmpty():
+    # Without any seed all scores stay 0.
+    if known.where("seed").isEmpty():
         return None
     totals = store(
-        _occurrences(docs, known).join(known.select("pattern", "n"), "pattern").where(F.col("n") >= CONFIDENT * F.col("total"))
+        _occurrences(docs, known).join(known.select("pattern", "n", F.col("seed").alias("seeded")), "pattern").where(F.col("n") >= CONFIDENT * F.col("total"))
     )
     if totals.isEmpty():
         return None
-    graph = store(edges.join(totals.select("pattern", "total"), "pattern"))
-    instances = graph.select("value", F.col("seed").cast("double").alias("score")).groupBy("value").agg(F.max("score").alias("score"))
-    for _ in range(ROUNDS):
-        led = F.least(F.sum(F.col("n") * F.col("score")) / F.first("total"), F.lit(1.0))
-        patterns = store(graph.join(instances, "value").groupBy("pattern").agg(led.alias("score")))
+    label = F.substring_index("pattern", " ", -1).alias("label")
+    graph = store(edges.join(totals.select("pattern", "total", "seeded", label), "pattern"))
+    patterns, turn, trusted, before = totals.select("pattern", F.lit(0.0).alias("score")), 0, 0, 0
+    while turn < ROUNDS or trusted > before:
         wrong = F.sum(F.log(F.lit(1.0) - F.col("score") + 1e-9))
-        scored = graph.join(patterns, "pattern").groupBy("value").agg(
-            F.when(F.bool_or("seed"), F.lit(1.0)).otherwise(1 - F.exp(wrong)).alias("score")
+        by_label = graph.join(patterns, "pattern").groupBy("value", "label").agg(wrong.alias("own"), F.bool_or("seed").alias("sure"))
+        by_label = store(by_label)
+        by_value = by_label.groupBy("value").agg(F.sum("own").alias("all"), F.bool_or("sure").alias("sure"))
+        # What all labels of an instance say of it, and what the others do.
+        scored = by_label.drop("sure").join(by_value, "value").select(
+            "value", "label", *[
+                F.when(F.col("sure"), F.lit(1.0)).otherwise(F.greatest(1 - F.exp(said), F.lit(0.0))).alias(name)
+                for name, said in (("score", F.col("all")), ("others", F.col("all") - F.col("own")))
+            ],
         )
-        instances = store(scored)
+        led, vouched = (F.sum(F.col("n") * F.col(c)) / F.first("total") for c in ("score", "others"))
+        score = F.when(F.first("seeded") | (vouched >= INDUCED), F.least(led, F.lit(1.0))).otherwise(0.0)
+        patterns = store(graph.join(scored, ["value", "label"]).groupBy("pattern").agg(score.alias("score")))
+        turn, before, trusted = turn + 1, trusted, patterns.where(F.col("score") >= CONFIDENT).count()
     return patterns.where(F.col("score") >= CONFIDENT)
 
 

@@ -212,6 +212,28 @@ def test_pii_learns_contexts(spark):
     assert found[0] == "email:21:35" and found[20] == "id:12:22"
 
 
+def test_pii_learns_from_what_it_found(spark):
+    """A label that never stands before a seed, and one after that."""
+    texts = [(i, f"please note Reach: user{i}@mail.org thanks") for i in range(30)]
+    texts += [(100 + i, f"some Reach: AB-{i}77 thanks") for i in range(6)]
+    texts += [(200 + i, f"his Badge AB-{i}77 now") for i in range(6)] + [(220 + i, f"his Badge CD-{i}91 now") for i in range(6)]
+    texts += [(300 + i, f"a Locker CD-{i}91 there") for i in range(6)] + [(320, "a Locker EF-33 there")]
+    texts += [(400 + i, f"see Chapter {i} again") for i in range(9)] + [(410 + i, f"in 19{i}0 again") for i in range(9)]
+    found = {r["doc_id"]: r["spans"] for r in pii.report(frame(spark, texts)).collect()}
+    assert found[100] == "id:12:18" and found[200] == found[220] == "id:10:16"
+    assert found[300] == "id:9:15" and found[320] == "id:9:14"
+    assert not any(found[400 + i] or found[410 + i] for i in range(9))
+
+
+@pytest.mark.parametrize("glue", [":", "=", '="', ": "])
+def test_pii_glued_to_a_label(spark, glue):
+    texts = [(i, f"please note key{glue}user{i}@mail.org thanks") for i in range(9)]
+    texts += [(20 + i, f"some key{glue}handle-{i}77 thanks and also the 200{i} people") for i in range(4)]
+    found = {r["doc_id"]: r["spans"] for r in pii.report(frame(spark, texts)).collect()}
+    at = len(f"some key{glue}")
+    assert found[20] == f"id:{at}:{at + 10}"
+
+
 def test_packing(spark, docs, empty):
     path = public_tokenizers.path("word_bpe_49k.json")
     assert packing.pack(empty, path).count() == 0

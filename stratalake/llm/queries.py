@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language_id, licences, lm, near_dedup, packing, pii, quality, warc
+from . import (
+    chat, decontaminate, language_id, licences, lm, near_dedup, packing, pii, quality, shallot, toxicity, warc, whitening,
+)
 from .common import id_remainder, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -70,6 +72,28 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs, model).withColumn("held_out", held_out)
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = id_remainder(F.col("doc_id"), 4) == 2
+    # An id that has several labels is one labelled document, toxic if any of them says so.
+    labels = table(spark, folder, "labels").where(~held_out).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.train(docs.join(labels, "doc_id"))
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",").alias("spans"),
+    )
+
+
+def op12_shallot(spark: SparkSession, folder: str) -> DataFrame:
+    state, centroids = shallot.cluster(table(spark, folder, "embeddings"), k=40, rounds=5, scale=256, dimensions=64, salt="2")
+    return shallot.report(state, centroids)
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 WARC_SQL = """
 WITH p AS (
     SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS bytes FROM pages
@@ -116,7 +140,49 @@ SELECT conv_id AS pair_id, max(common) AS n_common,
 FROM o GROUP BY conv_id
 """
 
-QUERIES = (op1_lm_score, op2_warc, op3_chat, op4_pii, op5_decontaminate, op6_quality, op7_near_dedup, op8_licences, op9_packing, op10_language_id)
+
+
+def shallot_sql(k: int = 40, rounds: int = 5, scale: int = 256, dimensions: int = 64, salt: str = "2") -> str:
+    """Plain rounds: every distance to every centroid."""
+    nearest = """
+a{r} AS (
+    SELECT i, vec_id, v, min({{'d': d, 'j': j}}) AS best FROM (
+        SELECT i, vec_id, v, j, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM kept CROSS JOIN c{r}
+    ) GROUP BY i, vec_id, v
+)"""
+    update = """
+s{r} AS (
+    SELECT j, place, sum(x)::BIGINT AS s, count(*) AS n FROM (
+        SELECT best.j AS j, unnest(v) AS x, unnest(range(1, {dimensions} + 1)) AS place FROM a{p}
+    ) GROUP BY j, place
+), m{r} AS (
+    SELECT j, list((s - ((s % n) + n) % n) // n ORDER BY place) AS c FROM s{r} GROUP BY j
+), c{r} AS (
+    SELECT j, coalesce(m{r}.c, c{p}.c) AS c FROM c{p} LEFT JOIN m{r} USING (j)
+)"""
+    steps = [nearest.format(r=0)]
+    for r in range(1, rounds + 1):
+        steps += [update.format(r=r, p=r - 1, dimensions=dimensions), nearest.format(r=r)]
+    return f"""
+WITH kept AS (
+    SELECT row_number() OVER () AS i, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE len(embedding) = {dimensions} AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = {dimensions}
+), c0 AS (
+    SELECT row_number() OVER (ORDER BY sha256('{salt}:' || vec_id)) - 1 AS j, v AS c FROM kept
+    ORDER BY sha256('{salt}:' || vec_id) LIMIT {k}
+), {",".join(steps)}
+SELECT vec_id, best.j::INTEGER AS cluster, best.d AS distance,
+    (sum(best.d) OVER (PARTITION BY best.j))::BIGINT AS cluster_inertia, (sum(best.d) OVER ())::BIGINT AS inertia,
+    sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON best.j = c{rounds}.j
+"""
+
+
+QUERIES = (
+    op1_lm_score, op2_warc, op3_chat, op4_pii, op5_decontaminate, op6_quality, op7_near_dedup, op8_licences, op9_packing,
+    op10_language_id, op11_toxicity, op12_shallot, op13_whitening,
+)
 
 
 def queries() -> dict:
@@ -124,4 +190,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": WARC_SQL, "op3_chat": CHAT_SQL}
+    return {"op2_warc": WARC_SQL, "op3_chat": CHAT_SQL, "op12_shallot": shallot_sql()}

@@ -34,7 +34,7 @@ def rows(df, *columns):
 
 def test_registered():
     names = [n for n in registry.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert "pipeline" in registry.queries()
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 

@@ -293,7 +293,102 @@ def _performers() -> str:
     FROM traits GROUP BY performers, trait, value"""
 
 
+_CUT = "(id // 64) % 7 = 3"
+_PAGES = """(SELECT id, listed_year AS year FROM base UNION ALL
+    SELECT id, CAST(listed_year + 1 AS INTEGER) FROM base WHERE is_relisted)"""
+_ROUTED = f"""
+    , routed AS (
+      SELECT 'discover' AS source_endpoint, 'landed' AS reason, count(*) AS n, count(*) AS with_id FROM {_PAGES} WHERE NOT {_CUT}
+      UNION ALL SELECT 'discover', 'unreadable', count(DISTINCT (year, id // 64)), NULL FROM {_PAGES} WHERE {_CUT}
+      UNION ALL SELECT 'popular', 'landed', 2 * count(*), 2 * count(*) FROM base WHERE is_popular
+      UNION ALL SELECT 'trending', 'landed', count(*), count(*) FROM base WHERE is_trending
+      UNION ALL SELECT 'trending', CASE WHEN coalesce(trim(props), '') = '' THEN 'empty' ELSE 'no results' END, count(*), NULL
+        FROM events GROUP BY ALL
+      UNION ALL SELECT 'details', 'landed', count(*), count(*) FROM fetches
+      UNION ALL SELECT 'details', CASE WHEN coalesce(trim(html), '') = '' THEN 'empty' ELSE 'unreadable' END, count(*), NULL
+        FROM pages GROUP BY ALL
+      UNION ALL SELECT 'credits', 'landed', count(*), count(*) FROM fetches
+      UNION ALL SELECT 'genres', 'landed', 2 * count(*), 0 FROM lookups
+    )
+    SELECT * FROM routed WHERE n > 0
+    UNION ALL SELECT 'all', 'rows', CAST(sum(n) AS BIGINT), NULL FROM routed WHERE reason = 'landed'
+    UNION ALL SELECT 'all', 'rejects', CAST(sum(n) AS BIGINT), NULL FROM routed WHERE reason <> 'landed'
+    UNION ALL SELECT 'all', 'documents', (SELECT count(DISTINCT (year, id // 64)) FROM {_PAGES})
+      + (SELECT count(*) FROM base WHERE is_popular) + (SELECT count(*) FROM base WHERE is_trending)
+      + (SELECT count(*) FROM events) + (SELECT count(*) FROM pages) + 2 * (SELECT count(*) FROM fetches)
+      + 2 * (SELECT count(*) FROM lookups), NULL"""
+
+_FIRST_LOADED = """SELECT id, CASE WHEN id IN (
+    SELECT id FROM fetches WHERE fetched_at < TIMESTAMP '1996-01-01 00:00:00') THEN 1 ELSE 2 END AS load FROM base"""
+
+_ENFORCED = """
+    , judged AS (SELECT movie_id, coalesce(length(original_language) > 10, false) AS long_code FROM staged)
+    , kept_out AS (
+      SELECT 'movies' AS table_name, 'original_language_length' AS rule, count(*) AS n FROM judged WHERE long_code
+      UNION ALL SELECT 'movies', 'movie_id_unique', count(*) - count(DISTINCT movie_id) FROM judged WHERE NOT long_code
+      UNION ALL SELECT 'movies', 'accepted', count(DISTINCT movie_id) FROM judged WHERE NOT long_code
+      UNION ALL SELECT 'movie_genres', 'genre_id_reference', count(*) FROM movie_genres
+        WHERE genre_id NOT IN (SELECT genre_id FROM genres)
+      UNION ALL SELECT 'movie_genres', 'accepted', count(*) FROM movie_genres WHERE genre_id IN (SELECT genre_id FROM genres))
+    SELECT * FROM kept_out WHERE n > 0"""
+
+
+def _slicer_totals() -> str:
+    headline = _HEADLINE.replace(", 6)", ", 9)")
+    slicers = {"calendar_year": "INTEGER", "genre_name": "VARCHAR", "language_code": "VARCHAR"}
+    movies = "fact_movie LEFT JOIN dim_date USING (date_key) LEFT JOIN dim_language USING (language_key)"
+    parts = []
+    for genre in (False, True):
+        for year in (False, True):
+            for language in (False, True):
+                used = [s for s, on in zip(slicers, (year, genre, language)) if on]
+                columns = ", ".join(s if s in used else f"CAST(NULL AS {kind}) AS {s}" for s, kind in slicers.items())
+                source = f"{movies} JOIN bridge_movie_genre USING (movie_key) JOIN dim_genre USING (genre_key)" if genre else movies
+                grouped = f"GROUP BY {', '.join(used)}" if used else ""
+                parts.append(
+                    f"SELECT {columns}, {headline}, '{'+'.join(used) or 'all'}' AS sliced_by FROM {source} {grouped}")
+    return " UNION ALL ".join(parts)
+
+
+_PEOPLE = """
+    , people AS (
+      SELECT calendar_year, genre_name, person_name FROM fact_movie LEFT JOIN dim_date USING (date_key)
+        JOIN bridge_movie_genre USING (movie_key) JOIN dim_genre USING (genre_key)
+        JOIN (SELECT movie_key, movie_id FROM dim_movie) USING (movie_key) JOIN movie_cast USING (movie_id)
+      WHERE person_name IS NOT NULL)
+    SELECT calendar_year, genre_name, count(DISTINCT person_name) AS people, true AS within_bound
+      FROM people GROUP BY calendar_year, genre_name
+    UNION ALL SELECT calendar_year, NULL, count(DISTINCT person_name), true FROM people GROUP BY calendar_year
+    UNION ALL SELECT NULL, genre_name, count(DISTINCT person_name), true FROM people GROUP BY genre_name"""
+
 _STATEMENTS = {
+    "land_routed": _ROUTED,
+    "written_counts": _union(
+        "SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}", ("raw_movies", *_TABLES)),
+    "silver_refresh": "SELECT * FROM movies",
+    "refresh_check": _union(
+        "SELECT '{t}' AS table_name, CAST(0 AS BIGINT) AS only_a, CAST(0 AS BIGINT) AS only_b,"
+        " count(*) AS row_count FROM {t}", _SILVER),
+    "stable_keys":
+        f"SELECT row_number() OVER (ORDER BY load, id) AS movie_key, id AS movie_id FROM ({_FIRST_LOADED})",
+    "refreshed_kpi": """SELECT calendar_year, genre_name, count(*) AS movie_count,
+        round(avg(vote_average), 6) AS average_rating, CAST(sum(revenue) AS BIGINT) AS total_revenue
+        FROM fact_movie JOIN dim_date USING (date_key) JOIN bridge_movie_genre USING (movie_key)
+          JOIN dim_genre USING (genre_key) GROUP BY calendar_year, genre_name""",
+    "enforced_write": _ENFORCED,
+    "overview_from_mart": f"""SELECT {_HEADLINE} FROM fact_movie
+        WHERE date_key // 10000 BETWEEN 1996 AND 1999 AND movie_key IN (
+          SELECT movie_key FROM bridge_movie_genre JOIN dim_genre USING (genre_key)
+          WHERE genre_name IN ('ECONOMY', 'PROMO'))""",
+    "slicer_totals": _slicer_totals(),
+    "distinct_people": _PEOPLE,
+    "runtime_quantiles": " UNION ALL ".join(
+        f"SELECT '{name}' AS quantile, quantile_cont(runtime, {p}) AS exact, count(runtime) AS known,"
+        " true AS within_bound FROM movies"
+        for name, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))),
+    "movie_lookup": """SELECT movie_id, title, release_year, f.runtime, f.budget, f.revenue, f.vote_average
+        FROM fact_movie f JOIN (SELECT movie_key, movie_id, title, release_year FROM dim_movie) USING (movie_key)
+        WHERE roi IS NOT NULL ORDER BY roi DESC, movie_key LIMIT 10""",
     "bronze_land": _LANDED,
     "bronze_incremental": f"{_LANDED} UNION ALL {_POPULAR}",
     "land_json_documents": f"""SELECT 'genres' AS source_endpoint, p_brand AS brand,

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 from functools import cached_property
 from typing import ClassVar
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..schemas import BRONZE, GOLD, SILVER
-from ..sources import catalogue, tables
+from ..schemas import BRONZE, GOLD, SILVER, conform
+from ..sources import catalogue, published, tables
 from ..sources.workspace import fresh_path, store
 from . import gold, silver
 
@@ -22,6 +23,10 @@ class Lake:
     ``table("gold.fact_movie")`` builds what is missing on the way and returns the written table.
     Written tables cut the lineage, survive lost executors, and have known sizes, so Catalyst
     broadcasts a dimension only while its files are below the threshold.
+
+    Rows are counted while they are written (``row_counts``). A lake with a name keeps every build of a table in a folder
+    of its own and records the folder once it is complete (``sources.published``): a build that died is never opened,
+    and ``rewrite`` leaves the old rows readable until the new ones are there.
     """
 
     _open: ClassVar[dict[tuple[str, str], Lake]] = {}
@@ -41,6 +46,8 @@ class Lake:
         self._lasting, self._root = root is not None, root or fresh_path(spark, "lake")
         self._source: Lake | None = None
         self._written: set[str] = set()
+        self._counts: dict[str, int] = {}
+        self._as_of: datetime | None = None
         self._namespaces: set[str] = set()
         self._builders: dict[str, tuple[Callable[[], DataFrame], object, tuple[str, ...]]] = {
             "bronze.raw_movies": (bronze, BRONZE, ("source_endpoint",)),
@@ -85,30 +92,62 @@ class Lake:
         """Remove the tables of the given layers, or of all; what is asked for again is built anew."""
         for layer in layers or ("gold", "silver", "bronze"):
             if self._lasting or layer in self._namespaces:
-                # So that tables of an earlier session go with their files.
-                for name in [n for n in self._builders if n.startswith(f"{layer}.")]:
-                    self._opened(name, f"{self.namespace(layer)}.{name.partition('.')[2]}")
+                # The namespace goes with its folder: all builds of an earlier session and their records.
                 self.spark.sql(f"DROP DATABASE {self.namespace(layer)} CASCADE")
                 self._namespaces.discard(layer)
         self._written = {n for n in self._written if n.partition(".")[0] in self._namespaces}
         self.__dict__.pop("keyed_movies", None)
 
     def _opened(self, name: str, qualified: str) -> bool:
-        """Whether the table is there, after entering one that an earlier session has left into the catalogue."""
-        if self.spark.catalog.tableExists(qualified):
-            return True
+        """Whether a complete build of the table is there; if so, the catalogue has it under its name."""
         layer, _, short = name.partition(".")
-        path = f"{self._root}/{layer}/{short}"
-        try:
-            self.spark.read.parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-            return False
-        self.spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{path}'")
+        root = f"{self._root}/{layer}"
+        found = published.current(published.records(self.spark, root), short)
+        if found:
+            self._enter(name, qualified, f"{root}/{found[0].folder}")
+            self._counts[name] = found[0].row_count
+        return bool(found)
+
+    def _enter(self, name: str, qualified: str, path: str) -> None:
+        """Let the catalogue's table have its rows in a folder."""
+        if self.spark.catalog.tableExists(qualified):
+            self.spark.sql(f"ALTER TABLE {qualified} SET LOCATION '{path}'")
+        else:
+            columns = self._builders[name][1]
+            partitions = f"PARTITIONED BY ({', '.join(self._builders[name][2])})" if self._builders[name][2] else ""
+            declared = f"({', '.join(f'{f.name} {f.dataType.simpleString()}' for f in columns)})" if columns else ""
+            self.spark.sql(f"CREATE TABLE {qualified} {declared} USING parquet {partitions} LOCATION '{path}'")
         if self._builders[name][2]:
             self.spark.catalog.recoverPartitions(qualified)
-        return True
+        self.spark.catalog.refreshTable(qualified)
+
+    def rewrite(self, name: str) -> DataFrame:
+        """Build a table of a lake with a name anew. Its old rows are read until the new ones are complete.
+
+        The new rows go to a folder beside the old; then a record names it and the table's location is switched.
+        """
+        if not self._lasting:
+            raise ValueError("only a lake with a name keeps its builds")
+        layer, _, short = name.partition(".")
+        qualified, root = f"{self.namespace(layer)}.{short}", f"{self._root}/{layer}"
+        build, schema, partition_by = self._builders[name]
+        df = build()
+        found = published.records(self.spark, root)
+        folder = published.new_folder(short)
+        rows = published.write_counted(conform(df, schema or df.schema), f"{root}/{folder}", partition_by)
+        published.publish(self.spark, root, [published.Record(short, published.next_version(found), 0, folder, rows)])
+        self._enter(name, qualified, f"{root}/{folder}")
+        self._counts[name] = rows
+        return self.spark.table(qualified)
+
+    def row_counts(self) -> DataFrame:
+        """``table_name`` and ``row_count`` of bronze, silver and gold, as counted while they were written."""
+        names = ["bronze.raw_movies", *[f"silver.{t}" for t in SILVER], *[f"gold.{t}" for t in GOLD]]
+        for name in names:
+            self.table(name)
+        source = self._source or self
+        counts = [(n.partition(".")[2], (source if n.startswith("bronze.") else self)._counts[n]) for n in names]
+        return self.spark.createDataFrame(counts, "table_name string, row_count bigint")
 
     def namespace(self, layer: str) -> str:
         name = f"{layer}_{self._id}"
@@ -123,9 +162,16 @@ class Lake:
             return self._source.table(name)
         qualified = f"{self.namespace(layer)}.{short}"
         if name not in self._written and not (self._lasting and self._opened(name, qualified)):
-            build, schema, partition_by = self._builders[name]
-            df = build()
-            tables.replace_table(df, qualified, schema or df.schema, partition_by)
+            if self._lasting:
+                self.rewrite(name)
+            else:
+                build, schema, partition_by = self._builders[name]
+                df, counted = build(), Observation()
+                latest = [F.max("ingested_at").alias("as_of")] if layer == "bronze" else []
+                df = conform(df, schema or df.schema).observe(counted, F.count(F.lit(1)).alias("row_count"), *latest)
+                tables.replace_table(df, qualified, df.schema, partition_by)
+                self._counts[name] = counted.get["row_count"]
+                self._as_of = counted.get.get("as_of", self._as_of)
         self._written.add(name)
         return self.spark.table(qualified)
 
@@ -133,6 +179,13 @@ class Lake:
     def bronze(self) -> DataFrame:
         return self.table("bronze.raw_movies")
 
+    def as_of(self) -> Column:
+        """When anything was last ingested: as seen while bronze was written, or else from bronze itself."""
+        bronze, lake = self.bronze, self._source or self
+        if lake._as_of is None:
+            return bronze.agg(F.max("ingested_at")).scalar()
+        return F.lit(lake._as_of).cast("timestamp_ntz")
+
     @property
     def staged(self) -> DataFrame:
         return self.table("silver.staged")

@@ -13,9 +13,13 @@ DEFAULT_TOP = 10
 DEFAULT_MIN_VOTES = 10
 
 
-def overview_kpis(fact: DataFrame, bronze: DataFrame) -> DataFrame:
-    """Headline figures, and when anything was last ingested, whether or not it won."""
-    as_of = bronze.agg(F.max("ingested_at").alias("at")).scalar()
+def overview_kpis(fact: DataFrame, bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Headline figures, and when anything was last ingested, whether or not it won.
+
+    ``as_of`` tells the latter where it is known already (``Lake.as_of``); else bronze is read for it.
+    """
+    if as_of is None:
+        as_of = bronze.agg(F.max("ingested_at").alias("at")).scalar()
     return _headline(fact).withColumn("data_as_of", as_of)
 
 

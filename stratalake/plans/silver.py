@@ -110,8 +110,8 @@ def movie_languages(stage: DataFrame) -> DataFrame:
     return conform(_bridge(stage, "language_names", "language_name"), SILVER["movie_languages"])
 
 
-def genres(bronze: DataFrame) -> DataFrame:
-    """Genre names by id; the latest lookup wins."""
+def latest_genres(bronze: DataFrame) -> DataFrame:
+    """Genre names by id with the time of their lookup; the latest lookup wins."""
     lookups = read_payload(by_endpoint(bronze, "genres"), LOOKUP_PAYLOAD, "ingested_at")
     items = lookups.select("ingested_at", F.explode(present(F.col("genres"))).alias("g"))
     named = items.select(
@@ -119,10 +119,17 @@ def genres(bronze: DataFrame) -> DataFrame:
         text(F.col("g"), "name").alias("genre_name"),
         "ingested_at",
     ).where("genre_id IS NOT NULL")
-    latest = named.groupBy("genre_id").agg(
-        F.max_by("genre_name", F.struct("ingested_at", "genre_name")).alias("genre_name")
-    )
-    return conform(latest, SILVER["genres"])
+    return latest_names(named)
+
+
+def latest_names(named: DataFrame) -> DataFrame:
+    """The latest name of every genre; of names looked up at the same time the greatest."""
+    latest = F.max(F.struct("ingested_at", "genre_name")).alias("latest")
+    return named.groupBy("genre_id").agg(latest).select("genre_id", "latest.genre_name", "latest.ingested_at")
+
+
+def genres(bronze: DataFrame) -> DataFrame:
+    return conform(latest_genres(bronze), SILVER["genres"])
 
 
 def movie_cast(bronze: DataFrame) -> DataFrame:

@@ -46,14 +46,22 @@ DIGEST = "digest"
 def with_digest(df: DataFrame) -> DataFrame:
     """Bronze rows with a SHA-256 over endpoint, id and payload, by which a document is known.
 
-    It is stored beside the row, so that nobody has to read old payloads to recognise a document.
+    It is stored beside the row, so that nobody has to read old payloads to recognise a document. Rows that have
+    their digest keep it.
     """
+    if DIGEST in df.columns:
+        return df
     movie_id: Column = F.coalesce(F.col("movie_id").cast("string"), F.lit(""))
     return df.withColumn(DIGEST, F.sha2(F.concat_ws("\n", "source_endpoint", movie_id, "payload"), 256))
 
 
+def _digested(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The table's columns and the digest, which is worked out only where the rows do not carry it."""
+    return conform(with_digest(df), T.StructType([*schema.fields, T.StructField(DIGEST, T.StringType())]))
+
+
 def append_bronze(df: DataFrame, path: str, schema: T.StructType) -> None:
-    writer = with_digest(conform(df, schema)).write.mode("append").options(**WRITE_OPTIONS)
+    writer = _digested(df, schema).write.mode("append").options(**WRITE_OPTIONS)
     writer.partitionBy("source_endpoint").parquet(f"{path}/{BATCH_FOLDER}")
 
 
@@ -65,7 +73,7 @@ def overwrite_bronze(df: DataFrame, path: str, schema: T.StructType) -> None:
     if _part(df.sparkSession, path, STREAM_FOLDER, schema) is not None:
         raise ValueError(f"{path} holds rows landed by a stream; land the endpoint into another table")
     (
-        with_digest(conform(df, schema)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        _digested(df, schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .options(**WRITE_OPTIONS).partitionBy("source_endpoint").parquet(f"{path}/{BATCH_FOLDER}")
     )
 
@@ -95,6 +103,31 @@ def landed_digests(spark: SparkSession, path: str) -> DataFrame:
     return _parts(spark, path, T.StructType().add(DIGEST, T.StringType()).add("source_endpoint", T.StringType()))
 
 
+#: Rows of a row group in a clustered table: a lookup reads one or two of them.
+GROUP_ROWS = 50_000
+
+
+def write_clustered(df: DataFrame, path: str, key: str, files: int, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Write rows so that few of them are read to find those of given keys.
+
+    Files hold ranges of the key and are sorted by it, so statistics leave out all but the fitting row groups, and a
+    Bloom filter on the key leaves out those that only might have fitted. A key of very many rows makes a long range; it
+    is spread over files by the hash of the whole row.
+    """
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+    (
+        df.repartitionByRange(files, F.col(key), spread).sortWithinPartitions(key).write.option("compression", "zstd")
+        .option("parquet.block.row.count.limit", str(group_rows)).option(f"parquet.bloom.filter.enabled#{key}", "true")
+        .option(f"parquet.bloom.filter.expected.ndv#{key}", str(group_rows)).parquet(path)
+    )
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def lookup(clustered: DataFrame, key: str, values: list) -> DataFrame:
+    """The rows of the given keys; the list is part of the pushed filter, so keep it to what a report page shows."""
+    return clustered.where(F.col(key).isin(*values)) if values else clustered.where(F.lit(False))
+
+
 def by_endpoint(bronze: DataFrame, *endpoints: str) -> DataFrame:
     """Bronze rows of the given endpoints; on a partitioned table only their folders are read."""
     return bronze.where(F.col("source_endpoint").isin(*endpoints))
@@ -104,10 +137,10 @@ def unseen_documents(batch: DataFrame, known: DataFrame, store: Callable[[DataFr
     """Rows of a batch whose document is not among the ``known`` digests yet, each once.
 
     Digests alone are compared, those of the batch's own endpoints with those landed before; only then are the
-    payloads of what is new looked at, and copies fold on the map side.
+    payloads of what is new looked at, and copies fold on the map side. The rows carry their digest.
     """
     marked = with_digest(batch)
     digests = marked.select("source_endpoint", DIGEST).distinct()
     fresh = store(digests.join(known, ["source_endpoint", DIGEST], "left_anti"))
     new = marked.join(fresh.select(DIGEST), DIGEST, "left_semi").dropDuplicates([DIGEST])
-    return new.select(*batch.columns)
+    return new.select(*batch.columns, *([] if DIGEST in batch.columns else [DIGEST]))

@@ -77,7 +77,7 @@ def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     held_out = id_remainder(F.col("doc_id"), 4) == 2
     # An id that has several labels is one labelled document, toxic if any of them says so.
     labels = table(spark, folder, "labels").where(~held_out).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = toxicity.train(docs.join(labels, "doc_id"))
+    model = toxicity.train(docs, labels)
     found = toxicity.score(docs, model)
     return found.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),

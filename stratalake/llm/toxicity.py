@@ -24,13 +24,14 @@ Copies get equal scores. Further columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh32_intdigest
 
 from ..sources.workspace import store
 from .common import map_rows
@@ -44,6 +45,7 @@ AROUND = 12
 #: Letters of the beginnings and endings that are features.
 BEGINNINGS, ENDINGS = (3, 4, 5, 6, 7), (2, 3)
 BUCKETS = 1 << 16
+_MASK, _BEGINS, _ENDED = BUCKETS - 1, 0x51ED, 0xA3D7
 STEPS, RATE, PENALTY = 60, 0.5, 1e-4
 #: A candidate is a marker if chance explains its places with less than this, divided by the number of candidates.
 CHANCE = 0.01
@@ -51,7 +53,7 @@ CHANCE = 0.01
 LEAST_PLACES = 4
 SPAN_MARGINAL, THRESHOLD = 0.5, 0.3
 #: Words whose scores a task remembers, and positions of a block of the recursions.
-REMEMBERED, BLOCK = 200_000, 64
+REMEMBERED, BLOCK = 400_000, 64
 
 #: Words, and the ends of sequences.
 _PARTS = re.compile(r"[^\W\d_]+|[.!?\n]+")
@@ -77,13 +79,12 @@ class Model(NamedTuple):
 
 
 def _buckets(word: str) -> list[int]:
-    """Hashed features of a word."""
-    names = [f"={word}", *[f"^{word[:n]}" for n in BEGINNINGS if len(word) >= n], *[f"{word[-n:]}$" for n in ENDINGS if len(word) >= n]]
-    return [xxh32_intdigest(name) % BUCKETS for name in names]
-
-
-def _word_bucket(word: str) -> int:
-    return xxh32_intdigest(f"={word}") % BUCKETS
+    """Hashed features of a word, the whole word first."""
+    letters, n = word.encode("utf-32-le"), len(word)
+    found = [crc32(letters) & _MASK]
+    found += [crc32(letters[: 4 * k], _BEGINS + k) & _MASK for k in BEGINNINGS if k <= n]
+    found += [crc32(letters[-4 * k :], _ENDED + k) & _MASK for k in ENDINGS if k <= n]
+    return found
 
 
 def _keys(word: str) -> list[str]:
@@ -185,7 +186,7 @@ def fit_field(labelled: list[tuple[list[str], list[int]]]) -> Field:
     buckets = [_buckets(w) for w in words]
     of_word = np.repeat(np.arange(len(words)), [len(b) for b in buckets])
     flat = np.array([x for b in buckets for x in b])
-    own_word = np.array([_word_bucket(w) for w in words])
+    own_word = np.array([b[0] for b in buckets])
     inner = np.flatnonzero(~begins)
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[inner - 1].astype(int), y[inner].astype(int)), 1)
@@ -255,26 +256,30 @@ def find_markers(sample: DataFrame) -> set[str]:
     return {r["key"] for r in wanted.join(clean, "key", "left").where(sure).select("key").collect()}
 
 
-def _sample(labelled: DataFrame, toxic_rows: int, clean_rows: int) -> tuple[DataFrame, int, int]:
-    """Sampled rows ``text, toxic, held`` and how many labelled documents of either kind there are."""
-    usable = labelled.where(F.col("toxic").isin(0, 1) & F.col("text").isNotNull()).select("text", F.col("toxic").cast("int").alias("toxic"))
-    mark = F.xxhash64("text", "toxic")
-    marks = usable.select("toxic", mark.alias("h"))
-    totals = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    chosen: Column = F.lit(False)
-    for label, rows in ((1, toxic_rows), (0, clean_rows)):
-        # Equal hashes are equal texts, of which one is enough.
-        last = marks.where(F.col("toxic") == label).select("h").distinct().orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-        if last is not None:
-            chosen = chosen | ((F.col("toxic") == label) & (mark <= last))
+def _sample(docs: DataFrame, labels: DataFrame, toxic_rows: int, clean_rows: int) -> tuple[DataFrame, int, int]:
+    """Sampled rows ``text, toxic, held`` and how many labels of either kind there are.
+
+    The sample is drawn from the labels alone, so that no text but its own is moved; its bound is that of the
+    broadcast. Copies in it are one row.
+    """
+    label = F.col("toxic").cast("int")
+    usable = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", label.alias("toxic"))
+    totals = dict(usable.groupBy("toxic").agg(F.count("*")).collect())
+    order = (F.xxhash64("doc_id", "toxic"), "doc_id")
+    chosen = [
+        usable.where(F.col("toxic") == which).orderBy(*order).limit(rows) for which, rows in ((1, toxic_rows), (0, clean_rows))
+    ]
+    ids = store(chosen[0].unionByName(chosen[1]))
     held = (F.pmod(F.xxhash64("text", F.lit("held")), F.lit(4)) == 0).alias("held")
-    sample = store(usable.where(chosen).distinct().select("text", "toxic", held))
-    return sample, totals.get(1, 0), totals.get(0, 0)
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.col("text").isNotNull())
+    return store(rows.select("text", "toxic", held).distinct()), totals.get(1, 0), totals.get(0, 0)
 
 
-def train(labelled: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> Model | None:
-    """A model from columns ``text`` and ``toxic`` (0 or 1)."""
-    sample, n_toxic, n_clean = _sample(labelled, toxic_rows, clean_rows)
+def train(
+    docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS
+) -> Model | None:
+    """A model from ``doc_id, text`` and the labels ``doc_id, toxic`` (0 or 1)."""
+    sample, n_toxic, n_clean = _sample(docs, labels, toxic_rows, clean_rows)
     if not n_toxic or not n_clean:
         return None
     shown = sample.where("NOT held")
@@ -319,7 +324,7 @@ def _features(top: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 def fit_scorer(rows: list[tuple[int, float, float]], weights: dict[int, float]) -> np.ndarray:
     """Logistic weights by Newton's method, with a slight penalty that keeps them finite."""
-    if not rows:
+    if not any(y for y, _, _ in rows) or all(y for y, _, _ in rows):
         share = weights[1] / (weights[0] + weights[1])
         return np.array([np.log(share / (1 - share)), 0.0, 0.0])
     y, top, total = (np.array(c, np.float64) for c in zip(*rows, strict=True))
@@ -339,30 +344,36 @@ def fit_scorer(rows: list[tuple[int, float, float]], weights: dict[int, float])
 
 def _measure(field: Field, with_label: bool = False, model: Model | None = None):
     """A function of texts that yields the largest marginal and the sum of marginals, or scores and spans."""
-    numbers: dict[str, int] = {}
-    scores: list[tuple[float, float, float]] = []
-
-    def number(word: str) -> int:
-        found = numbers.get(word)
-        if found is None:
-            low = word.lower()
-            at = _word_bucket(low)
-            found = numbers[word] = len(scores)
-            scores.append((float(field.own[_buckets(low)].sum()), float(field.left[at]), float(field.right[at])))
-        return found
+    own, left, right = (w.tolist() for w in (field.own, field.left, field.right))
+    scores = array("d")  # own, as a left and as a right neighbour, of every word remembered
+
+    class Numbers(dict):
+        """Words as they are written, with their place in ``scores``; -1 for ends of sequences."""
+
+        def __missing__(self, word: str) -> int:
+            if word[0] in _ENDS:
+                found = -1
+            else:
+                low = word.lower()
+                at = _buckets(low)
+                found = len(scores) // 3
+                scores.extend((sum([own[x] for x in at]), left[at[0]], right[at[0]]))
+            self[word] = found
+            return found
+
+    numbers = Numbers()
 
     def marginals(texts) -> list[np.ndarray]:
         """Per text the marginals of its words."""
-        if len(scores) > REMEMBERED:
+        if len(numbers) > REMEMBERED:
             numbers.clear()
-            scores.clear()
+            del scores[:]
         ids: list[int] = []
         counts = []
         for text in texts:
             before = len(ids)
-            # A sequence end is -1; the end of a text is one as well.
-            ids += [number(p) if p[0] not in _ENDS else -1 for p in _PARTS.findall(text or "")]
-            ids.append(-1)
+            ids += map(numbers.__getitem__, _PARTS.findall(text or ""))
+            ids.append(-1)  # the end of a text ends a sequence as well
             counts.append(len(ids) - before)
         parts = np.array(ids)
         is_word = parts >= 0
@@ -371,12 +382,11 @@ def _measure(field: Field, with_label: bool = False, model: Model | None = None)
         at = np.flatnonzero(is_word)
         begins = np.ones(len(at), bool)
         begins[1:] = np.diff(at) > 1
-        table = np.array(scores)
-        own = table[parts[at]]
-        emission = own[:, 0] + field.bias
+        word = np.array(scores).reshape(-1, 3)[parts[at]]
+        emission = word[:, 0] + field.bias
         inner = np.flatnonzero(~begins)
-        emission[inner] += own[inner - 1, 1]
-        emission[inner - 1] += own[inner, 2]
+        emission[inner] += word[inner - 1, 1]
+        emission[inner - 1] += word[inner, 2]
         p, _, _ = forward_backward(emission, begins, field.start, field.steps)
         of_text = np.repeat(np.arange(len(counts)), counts)[at]
         return np.split(p, np.searchsorted(of_text, np.arange(1, len(counts))))

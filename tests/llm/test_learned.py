@@ -80,13 +80,22 @@ def texts(seed, n, harsh):
     return out
 
 
+def learned(spark, rows):
+    docs = [(i, r[0], "d", 1.0) for i, r in enumerate(rows)]
+    labels = [(i, r[1], 0, "x") for i, r in enumerate(rows)]
+    return toxicity.train(
+        spark.createDataFrame(docs, "doc_id bigint, text string, key string, spans double"),
+        spark.createDataFrame(labels, "doc_id bigint, toxic int, quality int, text string"),
+    )
+
+
 @pytest.fixture(scope="module")
 def model(spark):
     rows = [(t, y, "d", 1.0) for t, y in texts(1, 400, HARSH)]
     # A copied toxic text with a word of its own: its copies are one place, so the word is no marker.
     rows += [("zebrafish " + rows[0][0], 1, "d", 1.0)] * 50
     rows += [(None, 1, "d", 1.0), ("", 0, "d", 1.0), ("no label", None, "d", 1.0), ("odd label", 7, "d", 1.0)]
-    return toxicity.train(spark.createDataFrame(rows, "text string, toxic int, key string, spans double"))
+    return learned(spark, rows)
 
 
 def scored(spark, model, values):
@@ -117,10 +126,8 @@ def test_unseen_texts(spark, model):
 
 
 def test_nothing_to_learn_toxicity(spark):
-    schema = "text string, toxic int"
-    assert toxicity.train(spark.createDataFrame([], schema)) is None
-    assert toxicity.train(spark.createDataFrame([("a b c", 1)], schema)) is None
-    few = toxicity.train(spark.createDataFrame([("a b c", 1), ("d e f", 0), ("g", 0)], schema))
+    assert learned(spark, []) is None and learned(spark, [("a b c", 1)]) is None
+    few = learned(spark, [("a b c", 1), ("d e f", 0), ("g", 0)])
     assert all(0 <= r["score"] <= 1 and not r["spans"] for r in scored(spark, few, [(1, "a b"), (2, None)]))
     assert [tuple(r) for r in scored(spark, None, [(1, "a b"), (2, None)])] == [(1, 0.0, []), (2, 0.0, [])]
     assert toxicity.score(spark.createDataFrame([], "doc_id bigint, text string"), few).count() == 0

@@ -45,8 +45,8 @@ _BETWEEN = r"""[\s"']+|(?<=[:=])(?=[^\s:="'])"""
 SUPPORT, CONFIDENT, ROUNDS = 5, 0.6, 4
 #: Share of its occurrences by which other labels must vouch for a pattern without a seed.
 INDUCED = 0.2
-#: Characters left of a slot that are looked at, and the longest context word.
-LEFT, LONGEST = 200, 64
+#: Characters left of a slot that are looked at first; where they don't hold two whole words, all there are.
+LEFT = 200
 
 
 def _identity(docs: DataFrame) -> DataFrame:
@@ -75,9 +75,10 @@ def _digit(digits: Column, place: Column) -> Column:
 
 
 def _matches(docs: DataFrame) -> DataFrame:
-    """``doc, doc_id, kind, start, end, value, before`` of everything that matches a pattern, checked or not.
+    """``doc, doc_id, kind, start, end, value, context`` of everything that matches a pattern, checked or not.
 
-    A match begins where the texts between matches and the matches before it end.
+    A match begins where the texts between matches and the matches before it end. ``context`` has the two words before
+    it, empty where there is none, or is null if the match does not stand where a context word ends.
     """
     text = F.col("text")
     hints = {"email": text.contains("@"), "phone": text.contains("+")}
@@ -99,12 +100,12 @@ def _matches(docs: DataFrame) -> DataFrame:
         F.posexplode(F.arrays_zip("values", F.slice("gaps", 1, F.size("values")).alias("gaps"))).alias("nth", "m"),
     ).select(
         "doc", "doc_id", "kind", "nth", F.col("m.values").alias("value"), F.length("m.gaps").alias("gap"),
-        F.right(F.col("m.gaps"), F.lit(LEFT)).alias("before"),
+        F.when(F.right(F.col("m.gaps"), F.lit(1)).rlike(r"""[\s:="']$"""), _two_words(F.col("m.gaps"))).alias("context"),
     ).distinct()
     upto = Window.partitionBy("doc", "doc_id", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(upto)
-    return each.select("doc", "doc_id", "kind", "nth", "value", "before", end.alias("end")).select(
-        "doc", "doc_id", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", "before", "nth"
+    return each.select("doc", "doc_id", "kind", "nth", "value", "context", end.alias("end")).select(
+        "doc", "doc_id", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", "context", "nth"
     )
 
 
@@ -118,7 +119,7 @@ def _slots(matches: DataFrame) -> DataFrame:
     marks = F.when(word, F.length(F.regexp_extract("value", f"^{_MARKS}*+", 0))).otherwise(0)
     core = F.when(word, F.regexp_replace("value", f"^{_MARKS}++|{_MARKS}++$", "")).otherwise(F.col("value"))
     right = matches.where(_passes(F.col("kind"), F.col("value"))).select(
-        "doc", "doc_id", "kind", (F.col("start") + marks).alias("start"), core.alias("value"), "before", "nth"
+        "doc", "doc_id", "kind", (F.col("start") + marks).alias("start"), core.alias("value"), "context", "nth"
     ).select("*", (F.col("start") + F.length("value")).alias("end"))
     base = F.col("kind") != FOUND
     # Both frames only grow from row to row; one that shrinks would be read anew for each row.
@@ -128,23 +129,28 @@ def _slots(matches: DataFrame) -> DataFrame:
     next_start = F.min(F.when(base, F.col("start"))).over(from_here)
     overlaps = (F.coalesce(before_end, F.lit(0)) > F.col("start")) | (F.coalesce(next_start, F.col("end")) < F.col("end"))
     kept = right.select("*", overlaps.alias("overlaps")).where(base | (~F.col("overlaps") & (F.length("value") > 0)))
-    words = F.concat(F.array(F.lit(""), F.lit("")), _context_words("before"))
-    # Words cut off by the limit of LEFT characters are longer than any that is looked at.
-    spaced = F.col("before").rlike(r"""[\s:="']$""")
-    patterns = _patterns(_readable(F.element_at(words, -2)), _readable(F.element_at(words, -1)))
+    patterns = _patterns(_readable(F.col("context")[0]), _readable(F.col("context")[1]))
     return kept.select(
         "doc", "doc_id", "kind", "start", "end", "value",
-        F.when(spaced, patterns).otherwise(F.array().cast("array<string>")).alias("patterns"),
+        F.when(F.col("context").isNotNull(), patterns).otherwise(F.array().cast("array<string>")).alias("patterns"),
     )
 
 
-def _context_words(text: str) -> Column:
+def _two_words(gap: Column) -> Column:
+    """The last two context words of a text, lower-cased and whole, however far back they begin."""
+    near = _context_words(F.right(gap, F.lit(LEFT)))
+    # The first of three or more may be cut off at its beginning; the last two are not.
+    words = F.when((F.length(gap) <= LEFT) | (F.size(near) > 2), near).otherwise(_context_words(gap))
+    return F.slice(F.concat(F.array(F.lit(""), F.lit("")), words), -2, 2)
+
+
+def _context_words(text: Column | str) -> Column:
     return F.filter(F.split(F.lower(text), _BETWEEN), lambda w: ~w.isin("", ":", "="))
 
 
 def _readable(word: Column) -> Column:
-    """A context word; null for other instances, for what is too long, and where there is none."""
-    return F.when((word != "") & (F.length(word) <= LONGEST) & ~word.rlike("[0-9@]"), word)
+    """A context word; null for other instances and where there is none."""
+    return F.when((word != "") & ~word.rlike("[0-9@]"), word)
 
 
 def _patterns(second: Column, first: Column) -> Column:

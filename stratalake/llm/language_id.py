@@ -65,7 +65,24 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def fit(features: np.ndarray, labels: list[str], seed: int = 1) -> Model:
+class Shares(NamedTuple):
+    """Rows of ``subwords`` without their zeros: row ``i`` has the entries ``starts[i]`` to ``starts[i + 1]``."""
+
+    starts: np.ndarray
+    buckets: np.ndarray
+    shares: np.ndarray
+
+    def rows(self, wanted: np.ndarray) -> np.ndarray:
+        """The wanted rows in full. Only a batch is ever spread out."""
+        size = self.starts[wanted + 1] - self.starts[wanted]
+        upto = np.cumsum(size)
+        at = np.repeat(self.starts[wanted] - upto + size, size) + np.arange(upto[-1] if len(upto) else 0)
+        out = np.zeros((len(wanted), BUCKETS), np.float32)
+        out[np.repeat(np.arange(len(wanted)), size), self.buckets[at]] = self.shares[at]
+        return out
+
+
+def fit(features: Shares, labels: list[str], seed: int = 1) -> Model:
     """Train and calibrate on rows of ``subwords`` and their languages."""
     languages = sorted(set(labels))
     y = np.array([languages.index(x) for x in labels])
@@ -82,7 +99,7 @@ def fit(features: np.ndarray, labels: list[str], seed: int = 1) -> Model:
             rng.shuffle(rows)
         part = rows[at : at + BATCH]
         rate = RATE * (1 - step / STEPS)
-        x = features[part]
+        x = features.rows(part)
         mean = x @ embeddings
         error = _softmax(mean @ layer + bias)
         error[np.arange(len(part)), y[part]] -= 1
@@ -94,7 +111,7 @@ def fit(features: np.ndarray, labels: list[str], seed: int = 1) -> Model:
         embeddings -= rate * 50 * (x.T @ back)
     scores = embeddings @ layer
     held = held if len(held) else rows
-    logits = features[held] @ scores + bias
+    logits = np.concatenate([features.rows(held[i : i + BATCH]) @ scores for i in range(0, len(held), BATCH)]) + bias
 
     def loss(temperature: float) -> float:
         return -float(np.mean(np.log(_softmax(logits / temperature)[np.arange(len(held)), y[held]] + 1e-12)))
@@ -124,14 +141,10 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS) -> Model | None:
         return step
 
     sample = usable.where(mark <= last).select("text", "lang")
-    found = map_rows(sample, make, "buckets array<int>, shares array<float>, lang string").limit(rows).toArrow()
-    features = np.zeros((found.num_rows, BUCKETS), np.float32)
-    at = 0
-    for batch in found.to_batches():
-        for buckets, shares in zip(batch["buckets"], batch["shares"], strict=True):
-            features[at, buckets.values.to_numpy()] = shares.values.to_numpy()
-            at += 1
-    return fit(features, found["lang"].to_pylist())
+    found = map_rows(sample, make, "buckets array<smallint>, shares array<float>, lang string").limit(rows).toArrow().combine_chunks()
+    starts = np.concatenate([[0], np.cumsum(found["buckets"].combine_chunks().value_lengths().to_numpy())]).astype(np.int64)
+    buckets, shares = (found[name].combine_chunks().flatten().to_numpy() for name in ("buckets", "shares"))
+    return fit(Shares(starts, buckets, shares), found["lang"].to_pylist())
 
 
 def classify(text: str | None, model: Model | None) -> tuple[str, float, bool]:

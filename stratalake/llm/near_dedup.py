@@ -199,13 +199,18 @@ def _by_coordinates(lists: DataFrame) -> DataFrame:
     return _pairs(lists.join(others, "key").where(F.col("component") < F.col("other_component")))
 
 
-def _by_rarest_members(rest: DataFrame, sets: DataFrame, compared: DataFrame) -> DataFrame:
-    """Pairs across components among the classes ``class, component, n`` that share one of their rarest members.
+def _enough(common: Column, n: Column, other: Column) -> Column:
+    """Whether sets of these sizes can be similar with so many members in common."""
+    return common * (100 + PERCENT) >= PERCENT * (n + other)
 
-    Two bounds on what a pair has in common leave out most of those that aren't similar. Where two sets meet for
-    the first time, in order of rarity, what is left of the shorter one must do. And if both were ``compared``
-    with the same hub, they share no more than one of them shares with it, plus what both have of shared members
-    that the hub lacks.
+
+def _rarest_members(rest: DataFrame, sets: DataFrame, compared: DataFrame) -> DataFrame:
+    """Lists of the classes ``class, component, n`` under their rarest members, those that may hold a link.
+
+    A class that meets another on a list has no more in common with it than what it has of shared members from there
+    on, in order of rarity, and the other is no smaller than the smallest of the list. A class that can't be similar
+    to a set of that size is taken off before any two are paired, which clears the lists of pages that share a
+    template and no more.
     """
     # Only a hub that is counted here itself makes all it has in common with others shared members.
     compared = compared.join(rest.select(F.col("class").alias("v")), "v", "left_semi")
@@ -225,15 +230,30 @@ def _by_rarest_members(rest: DataFrame, sets: DataFrame, compared: DataFrame) ->
         "class", "component", "n", F.size("shared").alias("all"), F.col("h.hub").alias("hub"), with_hub.alias("with_hub"),
         F.posexplode(F.slice("shared", 1, places)).alias("at", "p"),
     )
-    columns = ("class", "component", "n", "hub", "with_hub", "beyond", "left")
     lists = store(rows.select(
-        F.col("p.key").alias("key"), *columns[:5], (F.col("all") - F.col("with_hub")).alias("beyond"),
-        (F.col("all") - F.col("at")).alias("left"),
+        F.col("p.key").alias("key"), "class", "component", "n", "hub", "with_hub",
+        (F.col("all") - F.col("with_hub")).alias("beyond"), (F.col("all") - F.col("at")).alias("left"),
     ))
+    open_lists = lists.groupBy("key").agg(
+        F.min("component").alias("a"), F.max("component").alias("b"), F.min("n").alias("least")
+    ).where("a < b").select("key", "least")
+    smallest = F.greatest("least", F.ceil(F.col("n") * PERCENT / 100))
+    return lists.join(open_lists, "key").where(_enough(F.col("left"), F.col("n"), smallest)).drop("least")
+
+
+def _by_rarest_members(lists: DataFrame) -> DataFrame:
+    """Pairs across components among the classes on lists of their rarest members.
+
+    Two bounds on what a pair has in common leave out most of those that aren't similar. Where two sets meet for
+    the first time, in order of rarity, what is left of the shorter one must do. And if both were compared
+    with the same hub, they share no more than one of them shares with it, plus what both have of shared members
+    that the hub lacks.
+    """
+    columns = ("class", "component", "n", "hub", "with_hub", "beyond", "left")
     at_most = F.least("left", "other_left")
     by_hub = F.least("with_hub", "other_with_hub") + F.least("beyond", "other_beyond")
     at_most = F.when(F.col("hub") == F.col("other_hub"), F.least(at_most, by_hub)).otherwise(at_most)
-    enough = at_most * (100 + PERCENT) >= PERCENT * (F.col("n") + F.col("other_n"))
+    enough = _enough(at_most, F.col("n"), F.col("other_n"))
     across = F.col("component") < F.col("other_component")
     return _pairs(lists.join(_other(lists, *columns), "key").where(across & enough))
 
@@ -269,7 +289,8 @@ def _links(lists: DataFrame, sets: DataFrame) -> DataFrame | None:
         if few:
             pairs = _by_coordinates(rest)
         elif not productive:
-            pairs = _by_rarest_members(store(rest.select("class", "component", "n").distinct()), sets, compared)
+            lists = _rarest_members(store(rest.select("class", "component", "n").distinct()), sets, compared)
+            pairs = _by_rarest_members(store(lists))
         else:
             hub = [F.col(f"hub.{c}").alias(f"other_{c}") for c in ("class", "component", "n")]
             pairs = now.join(open_lists.select("key", *hub), "key")
@@ -335,6 +356,17 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows, with all their columns, of one document of each group; rows that agree in id and text count once."""
-    others = groups(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    """The rows, with all their columns, of one document of each group; rows that agree in id and text count once.
+
+    Which rows go is written first, so that its size is known: while it is small, the texts need not be moved. Only rows
+    that share id and text with another one meet it.
+    """
+    others = store(groups(docs).where(~F.col("kept")).select("doc_id").distinct())
+    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    alike = F.xxhash64("doc_id", "text")
+    repeated = store(docs.groupBy(alike.alias("_alike")).agg(F.count("*").alias("n")).where("n > 1").select("_alike"))
+    if repeated.isEmpty():
+        return kept
+    marked = kept.withColumn("_alike", alike)
+    single = marked.join(repeated, "_alike", "left_anti").drop("_alike")
+    return single.union(marked.join(repeated, "_alike", "left_semi").drop("_alike").dropDuplicates(["doc_id", "text"]))

@@ -1,12 +1,17 @@
 """Scoring texts with a log-bilinear neural model trained by noise-contrastive estimation.
 
 The model's symbols are the ``WORDS`` commonest training words, the end of a text, and ``BUCKETS`` endings that
-stand for all other words. For each of the words ``LAGS`` places back there is a log-bilinear predictor: the
-context word's vector times the lag's matrix, times the vector of the word predicted, plus its bias; the predictors
-are mixed in equal parts. What they learn from is the whole training corpus, as counts of context and word: Spark
-sums them, and their number is bounded by symbols squared. With such counts the noise term of the estimation
-objective is worked out exactly for every noise word rather than sampled. Scores of all words after all
-contexts are one matrix product, and a softmax over its rows makes them proper log-probabilities.
+stand for all other words. There is one log-bilinear model over the ``LAGS`` words before a token: the vectors of the
+context words, each times the matrix of its place, add up to what is predicted, and that times the vector of a word,
+plus the word's bias, is the word's score. A softmax over all symbols makes the scores log-probabilities. As the
+places add up in the exponent, the sum under the softmax is a product of two matrices, worked out once for every
+pair of context words.
+
+The model learns from the whole training corpus, as counts of two context words and the word after them, which Spark
+sums; they grow with the corpus up to symbols cubed. They are dealt out into ``PARTS`` by their contexts. In each of
+``ROUNDS`` every part takes steps from the common parameters over all its contexts, in numpy, and the driver averages
+what the parts return, weighted by their tokens. The noise term of the estimation objective is worked out for
+every noise word rather than sampled.
 
 A word behind a bucket has the bucket's probability times its share of the bucket (one is added to each count
 and to one unseen word), so every text has a probability. The counts of the ``FREQUENT`` commonest words travel
@@ -20,6 +25,7 @@ ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -36,9 +42,11 @@ from .common import LOWER_BYTES, in_small_batches, map_rows
 
 WORDS, BUCKETS = 767, 256
 END = b""  # no word is empty
-LAGS = (1, 2)
+LAGS = 2
 FREQUENT = 1 << 16
-DIMENSIONS, ROUNDS, RATE, NOISE = 32, 150, 0.05, 10
+DIMENSIONS, ROUNDS, RATE, NOISE = 32, 4, 0.03, 10
+#: Parts of the contexts, contexts per step, and the least number of steps a part takes in a round.
+PARTS, BLOCK, STEPS = 32, 512, 40
 ENDING = 3  # bytes of a word that name its bucket
 #: Entries a task gathers before it hands them on.
 GATHERED = 300_000
@@ -59,12 +67,16 @@ class Model(NamedTuple):
     lags: np.ndarray  # lag x dimension x dimension
     bias: np.ndarray
 
-    def probabilities(self) -> np.ndarray:
-        """Lag x context x word, each row adding up to 1."""
-        scores = (self.vectors @ self.lags) @ self.targets.T + self.bias
-        scores -= scores.max(axis=2, keepdims=True)
-        np.exp(scores, out=scores)
-        return scores / scores.sum(axis=2, keepdims=True)
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per place what each context word adds to each word's score (the bias with the last), and log sums.
+
+        The log-probability of ``w`` after ``a``, before which stands ``b``, is ``near[a, w] + far[b, w] - log_sum[a, b]``.
+        """
+        near, far = ((self.vectors @ lag) @ self.targets.T.astype(np.float64) for lag in self.lags)
+        far = far + self.bias
+        tops = near.max(axis=1, keepdims=True), far.max(axis=1, keepdims=True)
+        log_sum = np.log(np.exp(near - tops[0]) @ np.exp(far - tops[1]).T) + tops[0] + tops[1].T
+        return near, far, log_sum
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -103,80 +115,129 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def context_counts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``code, n``: how often a word follows a context; code = (lag number * size + context) * size + word.
+    """``context, word, n``: how often a word follows two others; context = the one just before * size + the other.
 
     Before the first word of a text stands the end of another.
     """
     size = vocabulary.size
 
+    def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        codes, n = np.unique(np.concatenate(held), return_counts=True)
+        for at in range(0, len(codes), GATHERED):
+            part = codes[at : at + GATHERED], n[at : at + GATHERED]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, part)], names=["code", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(LAGS) * size * size, np.int64)
+        held, filled = [], 0
         for batch in batches:
-            held, filled = [], 0
             for text in batch.column(0).cast(pa.binary()):
-                symbols = np.array([0] * max(LAGS) + [vocabulary.symbol(w) for w in tokens(text.as_py())])
-                for i, lag in enumerate(LAGS):
-                    context = symbols[max(LAGS) - lag : -lag]
-                    held.append((i * size + context) * size + symbols[max(LAGS) :])
+                symbols = np.array([0, 0] + [vocabulary.symbol(w) for w in tokens(text.as_py())])
+                held.append((symbols[1:-1] * size + symbols[:-2]) * size + symbols[2:])
                 filled += len(symbols)
                 if filled > 4 * GATHERED:
-                    total += np.bincount(np.concatenate(held), minlength=len(total))
+                    yield from counted(held)
                     held, filled = [], 0
-            if held:
-                total += np.bincount(np.concatenate(held), minlength=len(total))
-        found = np.flatnonzero(total)
-        for at in range(0, len(found), GATHERED):
-            part = found[at : at + GATHERED]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], names=["code", "n"])
+        if held:
+            yield from counted(held)
+
+    found = in_small_batches(texts.select("text")).mapInArrow(run, "code bigint, n bigint")
+    found = found.groupBy("code").agg(F.sum("n").alias("n"))
+    context = F.floor(F.col("code") / size).cast("int")
+    return found.select(context.alias("context"), (F.col("code") % size).cast("int").alias("word"), "n")
+
+
+class Part:
+    """The counts of a part's contexts, held without their zeros."""
+
+    def __init__(self, context: np.ndarray, word: np.ndarray, n: np.ndarray, size: int):
+        self.names, self.row = np.unique(context, return_inverse=True)
+        order = np.argsort(self.row, kind="stable")
+        self.row, self.word, self.n, self.size = self.row[order], word[order], n[order].astype(np.float32), size
+        self.starts = np.searchsorted(self.row, np.arange(len(self.names) + 1))
 
-    pairs = in_small_batches(texts.select("text")).mapInArrow(run, "code bigint, n bigint")
-    return pairs.groupBy("code").agg(F.sum("n").alias("n"))
+    def block(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), self.size), np.float32)
+        length = self.starts[rows + 1] - self.starts[rows]
+        at = np.repeat(self.starts[rows] - np.cumsum(length) + length, length) + np.arange(length.sum())
+        out[np.repeat(np.arange(len(rows)), length), self.word[at]] = self.n[at]
+        return out
 
 
-def estimate(counts: np.ndarray, seed: int = 1) -> Model:
-    """Noise-contrastive estimation from counts of lag x context x word.
+def gradients(model: Model, context: np.ndarray, counts: np.ndarray, share: np.ndarray) -> list[np.ndarray]:
+    """Of the noise-contrastive objective: a word that was seen is told from ``NOISE`` draws from the words' shares.
 
-    A word is told apart from ``NOISE`` draws from the corpus's word shares; the expectation over draws is exact.
-    Steps follow Adam.
+    Contexts count by the square root of how often they occur, so that common ones don't drown the others.
     """
-    size = counts.shape[1]
+    vectors, targets, lags, bias = model
+    places = [context // len(targets), context % len(targets)]
+    predicted = sum(vectors[at] @ lag for at, lag in zip(places, lags, strict=True))
+    odds = 1 / (1 + np.exp(-np.clip(predicted @ targets.T + (bias - np.log(NOISE * share)), -30, 30)))
+    weight = np.sqrt(counts.sum(axis=1, keepdims=True))
+    push = counts / weight * (1 - odds) - weight * (NOISE * share) * odds
+    push /= weight.sum()
+    back = push @ targets
+    by_vector = np.zeros_like(vectors)
+    for at, lag in zip(places, lags, strict=True):
+        np.add.at(by_vector, at, back @ lag.T)
+    return [by_vector, push.T @ predicted, np.stack([vectors[at].T @ back for at in places]), push.sum(axis=0)]
+
+
+def improved(model: Model, part: Part, share: np.ndarray, rate: float, seed: int) -> Model:
+    """The model after steps over all contexts of the part, each seen about equally often; steps follow Adam."""
     rng = np.random.default_rng(seed)
-    share = (counts[0].sum(axis=0) + 1.0) / (counts[0].sum() + size)
-    log_noise = np.log(NOISE * share).astype(np.float32)
-    parameters = [
-        rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32),
-        rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32),
-        np.stack([np.eye(DIMENSIONS, dtype=np.float32)] * len(counts)),
-        np.log(share).astype(np.float32),
-    ]
+    parameters = [p.copy() for p in model]
     first, second = [np.zeros_like(p) for p in parameters], [np.zeros_like(p) for p in parameters]
-    # Contexts count by the square root of how often they occur, so that common ones don't drown the others.
-    weight = counts.sum(axis=2, keepdims=True)
-    scale = 1 / np.sqrt(np.maximum(weight, 1))
-    seen = (counts * scale).astype(np.float32)
-    noise = (weight * scale * NOISE * share).astype(np.float32)
-    scale_all = float(np.sqrt(weight).sum() / len(counts)) or 1.0
-    for step in range(1, ROUNDS + 1):
-        vectors, targets, lags, bias = parameters
-        grads = [np.zeros_like(p) for p in parameters]
-        for i, lag in enumerate(lags):
-            predicted = vectors @ lag
-            odds = 1 / (1 + np.exp(-np.clip(predicted @ targets.T + bias - log_noise, -30, 30)))
-            push = seen[i] * (1 - odds) - noise[i] * odds
-            back = push @ targets
-            grads[0] += back @ lag.T
-            grads[1] += push.T @ predicted
-            grads[2][i] = vectors.T @ back
-            grads[3] += push.sum(axis=0)
-        for p, g, m, v in zip(parameters, grads, first, second, strict=True):
-            g = g / scale_all * size
+    order, step = np.empty(0, np.int64), 0
+    while step < STEPS or len(order):
+        if not len(order):
+            order = rng.permutation(len(part.names))
+        rows, order, step = order[:BLOCK], order[BLOCK:], step + 1
+        found = gradients(Model(*parameters), part.names[rows], part.block(rows), share)
+        for p, g, m, v in zip(parameters, found, first, second, strict=True):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
-            rate = RATE * (1 - step / (ROUNDS + 1))
-            p += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
+            p += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
     return Model(*parameters)
 
 
+def estimate(counts: DataFrame, size: int, seed: int = 1) -> Model:
+    """Noise-contrastive estimation from ``context_counts``, by averaging what parts of the contexts learn.
+
+    A part's counts are in one task: at most a ``PARTS``-th of size squared contexts, each with at most size words.
+    What the driver takes is one set of parameters per part.
+    """
+    shares = counts.groupBy("word").agg(F.sum("n").alias("n")).toArrow()
+    seen = np.ones(size)
+    seen[shares["word"].to_numpy()] += shares["n"].to_numpy()
+    share = (seen / seen.sum()).astype(np.float32)
+    rng = np.random.default_rng(seed)
+    model = Model(
+        rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32), rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32),
+        np.stack([np.eye(DIMENSIONS, dtype=np.float32)] * LAGS), np.log(share),
+    )
+    parts = counts.withColumn("part", F.pmod(F.xxhash64("context"), F.lit(PARTS)).cast("int"))
+    for turn in range(ROUNDS):
+
+        def run(key, table: pa.Table, model=model, turn=turn) -> pa.Table:
+            part, number = Part(*[table[c].to_numpy() for c in ("context", "word", "n")], size), key[0].as_py()
+            better = improved(model, part, share, RATE * (1 - turn / ROUNDS), seed * 1_000_003 + turn * PARTS + number)
+            packed = [pa.array([p.astype(np.float32).tobytes()], pa.binary()) for p in better]
+            return pa.table([pa.array([number], pa.int32()), pa.array([float(part.n.sum())]), *packed],
+                            names=["part", "weight", *Model._fields])
+
+        schema = "part int, weight double, " + ", ".join(f"{name} binary" for name in Model._fields)
+        found = parts.groupBy("part").applyInArrow(run, schema).collect()
+        if not found:
+            break
+        found.sort(key=lambda r: r["part"])
+        weights = np.array([r["weight"] for r in found]) / sum(r["weight"] for r in found)
+        model = Model(*[
+            sum(np.frombuffer(r[name], np.float32).reshape(old.shape) * np.float32(w) for r, w in zip(found, weights, strict=True))
+            for name, old in zip(Model._fields, model, strict=True)
+        ])
+    return model
+
+
 class Scorer(NamedTuple):
     """What a task needs, bounded by the parameters above."""
 
@@ -204,11 +265,7 @@ def train(texts: DataFrame) -> tuple[Scorer, DataFrame]:
     bucket_tokens, bucket_words = [0] * BUCKETS, [0] * BUCKETS
     for r in rest.agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
         bucket_tokens[r["b"]], bucket_words[r["b"]] = r["n"], r["v"]
-    size = vocabulary.size
-    table = np.zeros(len(LAGS) * size * size, np.float64)
-    found = context_counts(texts, vocabulary).toArrow()
-    table[found["code"].to_numpy()] = found["n"].to_numpy()
-    model = estimate(table.reshape(len(LAGS), size, size))
+    model = estimate(store(context_counts(texts, vocabulary)), vocabulary.size)
     return Scorer(vocabulary, model, frequent, totals["n"], totals["v"], bucket_tokens, bucket_words), counts
 
 
@@ -216,8 +273,8 @@ def _partly_scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """Scores of the tokens whose counts a task has, and the words that are still to be looked up."""
 
     def make():
-        vocabulary, size = scorer.vocabulary, scorer.vocabulary.size
-        mixed = scorer.model.probabilities() / len(LAGS)
+        vocabulary = scorer.vocabulary
+        near, far, log_sum = scorer.model.tables()
         names = list(scorer.frequent)
         number = {w: i for i, w in enumerate(names)}
         counts = np.array([*scorer.frequent.values(), 0], np.float64)
@@ -234,13 +291,12 @@ def _partly_scored(docs: DataFrame, scorer: Scorer) -> DataFrame:
             for doc_id, text in zip(doc_ids, texts, strict=True):
                 words = tokens(text)
                 ids = np.array([number.get(w, -1) for w in words])
-                line = np.concatenate([np.zeros(max(LAGS), np.int64), symbols[ids]])
+                line = np.concatenate([np.zeros(LAGS, np.int64), symbols[ids]])
                 unknown = np.flatnonzero(ids < 0)
-                line[unknown + max(LAGS)] = [vocabulary.symbol(words[i]) for i in unknown]
-                word, p = line[max(LAGS) :], 0
-                for i, lag in enumerate(LAGS):
-                    p = p + mixed[i, line[max(LAGS) - lag : -lag], word]
-                score = float(np.log10(p).sum() + within[ids].sum())
+                line[unknown + LAGS] = [vocabulary.symbol(words[i]) for i in unknown]
+                b, a, w = line[:-2], line[1:-1], line[2:]
+                p = float((near[a, w] + far[b, w] - log_sum[a, b]).sum())
+                score = p / math.log(10) + float(within[ids].sum())
                 rare = Counter(words[i].decode() for i in unknown)
                 yield (place + key, doc_id, len(words), len(words) - len(unknown), float(base[ids].sum()), score,
                        list(rare), list(rare.values()))

@@ -273,7 +273,8 @@ def test_bin_slack():
 
 @pytest.fixture
 def few_rounds(monkeypatch):
-    monkeypatch.setattr(lm, "ROUNDS", 15)
+    monkeypatch.setattr(lm, "ROUNDS", 2)
+    monkeypatch.setattr(lm, "PARTS", 3)
 
 
 def test_lm(docs, empty, few_rounds):
@@ -281,8 +282,8 @@ def test_lm(docs, empty, few_rounds):
     found = lm.score(docs, scorer, counts).collect()
     assert len(found) == len(TEXTS) and all(r["score"] < 0 and r["n_known"] == r["n_tokens"] for r in found)
     assert lm.score(empty, scorer, counts).count() == 0
-    p = scorer.model.probabilities()
-    assert np.allclose(p.sum(axis=2), 1, atol=1e-4)
+    near, far, log_sum = scorer.model.tables()
+    assert np.allclose(np.exp(near[3] + far - log_sum[3][:, None]).sum(axis=1), 1, atol=1e-4)
     scorer, counts = lm.train(empty)
     found = lm.score(docs, scorer, counts).collect()
     assert all(r["base_score"] == 0 and r["n_known"] == 0 and math.isfinite(r["score"]) for r in found)
@@ -297,6 +298,76 @@ def test_lm_is_normalised(spark, few_rounds):
     assert 0 < sum(found) <= 1
 
 
+def test_lm_against_brute_force(spark, few_rounds):
+    """Every token by a softmax over all symbols after the sum of both context vectors."""
+    texts = ["a b c d", "B a", "", None, "d zzz a a b", "c " * 3000, "new words a"]
+    scorer, counts = lm.train(frame(spark, list(enumerate(texts[:5]))))
+    vectors, targets, lags, bias = scorer.model
+    seen = {r["word"].encode(): r["n"] for r in counts.collect()}
+    words = scorer.vocabulary.words
+    expected = {}
+    for i, text in enumerate(texts):
+        line, total = [0, 0], 0.0
+        for word in lm.tokens((text or "").encode()):
+            symbol = scorer.vocabulary.symbol(word)
+            scores = (vectors[line[-1]] @ lags[0] + vectors[line[-2]] @ lags[1]) @ targets.T + bias
+            total += float(scores[symbol]) - math.log(sum(math.exp(x) for x in scores.tolist()))
+            if word not in words:
+                bucket = symbol - len(words)
+                total += math.log((seen.get(word, 0) + 1) / (scorer.bucket_tokens[bucket] + scorer.bucket_words[bucket] + 1))
+            line.append(symbol)
+        expected[i] = total / math.log(10)
+    found = {r["doc_id"]: r["score"] for r in lm.score(frame(spark, list(enumerate(texts))), scorer, counts).collect()}
+    assert found == pytest.approx(expected, rel=1e-4)
+
+
+def test_lm_context_counts(spark):
+    scorer, _ = lm.train(frame(spark, [(1, "a b a"), (2, "a b a"), (3, None)]))
+    symbol, size = scorer.vocabulary.words, scorer.vocabulary.size
+    end, a, b = symbol[b""], symbol[b"a"], symbol[b"b"]
+    found = lm.context_counts(frame(spark, [(1, "a b a"), (2, "a b a"), (3, None)]), scorer.vocabulary).collect()
+    assert {(r["context"] // size, r["context"] % size, r["word"]): r["n"] for r in found} == {
+        (end, end, a): 2, (a, end, b): 2, (b, a, a): 2, (a, b, end): 2, (end, end, end): 1
+    }
+
+
+def test_lm_gradients_are_those_of_the_objective():
+    rng = np.random.default_rng(3)
+    size, context, counts = 6, np.array([7, 20, 33]), rng.integers(0, 5, (3, 6)).astype(np.float64)
+    share = rng.dirichlet(np.ones(size))
+    model = lm.Model(rng.normal(size=(6, 4)), rng.normal(size=(6, 4)), rng.normal(size=(2, 4, 4)), rng.normal(size=6))
+
+    def objective(m):
+        predicted = m.vectors[context // size] @ m.lags[0] + m.vectors[context % size] @ m.lags[1]
+        x = predicted @ m.targets.T + m.bias - np.log(lm.NOISE * share)
+        n = counts.sum(axis=1, keepdims=True)
+        gain = counts * -np.log1p(np.exp(-x)) + n * lm.NOISE * share * -np.log1p(np.exp(x))
+        return float((gain / np.sqrt(n)).sum() / np.sqrt(n).sum())
+
+    for name, found in zip(lm.Model._fields, lm.gradients(model, context, counts, share), strict=True):
+        for at in np.ndindex(found.shape):
+            up, down = getattr(model, name).copy(), getattr(model, name).copy()
+            up[at] += 1e-5
+            down[at] -= 1e-5
+            slope = (objective(model._replace(**{name: up})) - objective(model._replace(**{name: down}))) / 2e-5
+            assert slope == pytest.approx(found[at], abs=1e-6)
+
+
+def test_lm_learns_from_two_words_together(spark):
+    """What follows is told by both context words at once, and by none alone in this corpus."""
+    rng = np.random.default_rng(5)
+    nouns = {("red", "up"): "cat", ("red", "down"): "dog", ("blue", "up"): "dog", ("blue", "down"): "fox"}
+    made = [pair for pair in nouns for _ in range(100)]
+    rng.shuffle(made)
+    scorer, counts = lm.train(frame(spark, [(i, f"{a} {b} {nouns[a, b]}") for i, (a, b) in enumerate(map(tuple, made))]))
+    texts = [f"{a} {b} {noun}" for a, b in nouns for noun in ("cat", "dog", "fox")]
+    score = {r["doc_id"]: r["score"] for r in lm.score(frame(spark, list(enumerate(texts))), scorer, counts).collect()}
+    for i in range(0, len(texts), 3):
+        best = max(range(i, i + 3), key=score.get)
+        a, b, noun = texts[best].split()
+        assert nouns[a, b] == noun
+
+
 def test_warc(spark, empty, docs):
     pages = [
         (1, "http://a", "x" * 200), (2, "http://b\nc", "x" * 200), (3, None, "x" * 99), (4, "u", "x" * 99), (5, "u", None),

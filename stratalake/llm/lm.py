@@ -8,9 +8,10 @@ places add up in the exponent, the sum under the softmax is a product of two mat
 pair of context words.
 
 The model learns from the whole training corpus, as counts of two context words and the word after them, which Spark
-sums; they grow with the corpus up to symbols cubed. They are dealt out into ``PARTS`` by their contexts. In each of
+sums; they grow with the corpus up to symbols cubed. They are dealt out by their contexts into ``PARTS``,
+or fewer where a part would have less than ``BLOCK`` contexts. In each of
 ``ROUNDS`` every part takes steps from the common parameters over all its contexts, in numpy, and the driver averages
-what the parts return, weighted by their tokens. The noise term of the estimation objective is worked out for
+what the parts return, weighted by what each has seen. The noise term of the estimation objective is worked out for
 every noise word rather than sampled.
 
 A word behind a bucket has the bucket's probability times its share of the bucket (one is added to each count
@@ -155,6 +156,12 @@ class Part:
         self.row, self.word, self.n, self.size = self.row[order], word[order], n[order].astype(np.float32), size
         self.starts = np.searchsorted(self.row, np.arange(len(self.names) + 1))
 
+    def weights(self) -> np.ndarray:
+        """How much each symbol counts as a context, by the root of how often each of its contexts occurs."""
+        root = np.sqrt(np.bincount(self.row, self.n))
+        places = [self.names // self.size, self.names % self.size]
+        return sum(np.bincount(at, root, self.size) for at in places)
+
     def block(self, rows: np.ndarray) -> np.ndarray:
         out = np.zeros((len(rows), self.size), np.float32)
         length = self.starts[rows + 1] - self.starts[rows]
@@ -200,6 +207,31 @@ def improved(model: Model, part: Part, share: np.ndarray, rate: float, seed: int
     return Model(*parameters)
 
 
+def _learner(model: Model, share: np.ndarray, seed: int, turn: int):
+    def run(key, table):
+        part, number = Part(*[table[c].to_numpy() for c in ("context", "word", "n")], len(share)), key[0].as_py()
+        better = improved(model, part, share, RATE * (1 - turn / ROUNDS), seed * 1_000_003 + turn * PARTS + number)
+        packed = [p.astype(np.float32).tobytes() for p in (*better, part.weights())]
+        return pa.table([pa.array([number], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]],
+                        names=["part", *Model._fields, "weights"])
+
+    return run
+
+
+def _averaged(model: Model, found: list) -> Model:
+    """The parts' parameters by weight; a context word's vector counts only where the word is a context."""
+    weights = np.stack([np.frombuffer(r["weights"], np.float32) for r in found])
+    whole = weights.sum(axis=1) / weights.sum()
+    each = weights / np.maximum(weights.sum(axis=0), 1e-9)
+    mixed = {}
+    for name, old in zip(Model._fields, model, strict=True):
+        parts = np.stack([np.frombuffer(r[name], np.float32).reshape(old.shape) for r in found])
+        mixed[name] = np.einsum("p,p...->...", whole, parts).astype(np.float32)
+        if name == "vectors":
+            mixed[name] = np.where(each.any(axis=0)[:, None], np.einsum("ps,psd->sd", each, parts), old).astype(np.float32)
+    return Model(**mixed)
+
+
 def estimate(counts: DataFrame, size: int, seed: int = 1) -> Model:
     """Noise-contrastive estimation from ``context_counts``, by averaging what parts of the contexts learn.
 
@@ -215,26 +247,15 @@ def estimate(counts: DataFrame, size: int, seed: int = 1) -> Model:
         rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32), rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32),
         np.stack([np.eye(DIMENSIONS, dtype=np.float32)] * LAGS), np.log(share),
     )
-    parts = counts.withColumn("part", F.pmod(F.xxhash64("context"), F.lit(PARTS)).cast("int"))
+    # No part has less than a step's contexts, as far as they go round.
+    several = min(PARTS, math.ceil(counts.select("context").distinct().count() / BLOCK)) or 1
+    parts = counts.withColumn("part", F.pmod(F.xxhash64("context"), F.lit(several)).cast("int"))
     for turn in range(ROUNDS):
-
-        def run(key, table: pa.Table, model=model, turn=turn) -> pa.Table:
-            part, number = Part(*[table[c].to_numpy() for c in ("context", "word", "n")], size), key[0].as_py()
-            better = improved(model, part, share, RATE * (1 - turn / ROUNDS), seed * 1_000_003 + turn * PARTS + number)
-            packed = [pa.array([p.astype(np.float32).tobytes()], pa.binary()) for p in better]
-            return pa.table([pa.array([number], pa.int32()), pa.array([float(part.n.sum())]), *packed],
-                            names=["part", "weight", *Model._fields])
-
-        schema = "part int, weight double, " + ", ".join(f"{name} binary" for name in Model._fields)
-        found = parts.groupBy("part").applyInArrow(run, schema).collect()
+        schema = "part int, " + ", ".join(f"{name} binary" for name in (*Model._fields, "weights"))
+        found = parts.groupBy("part").applyInArrow(_learner(model, share, seed, turn), schema).collect()
         if not found:
             break
-        found.sort(key=lambda r: r["part"])
-        weights = np.array([r["weight"] for r in found]) / sum(r["weight"] for r in found)
-        model = Model(*[
-            sum(np.frombuffer(r[name], np.float32).reshape(old.shape) * np.float32(w) for r, w in zip(found, weights, strict=True))
-            for name, old in zip(Model._fields, model, strict=True)
-        ])
+        model = _averaged(model, sorted(found, key=lambda r: r["part"]))
     return model
 
 

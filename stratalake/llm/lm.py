@@ -115,8 +115,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return _gathered(texts, "word string, n bigint", tokens, emit).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def context_counts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``context, word, n``: how often a word follows two others; context = the one just before * size + the other.
+def context_counts(texts: DataFrame, vocabulary: Vocabulary, parts: int = 1) -> DataFrame:
+    """``context, word, n, part``: how often a word follows two others; context = the one just before * size + the other.
 
     Before the first word of a text stands the end of another.
     """
@@ -142,9 +142,11 @@ def context_counts(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             yield from counted(held)
 
     found = in_small_batches(texts.select("text")).mapInArrow(run, "code bigint, n bigint")
-    found = found.groupBy("code").agg(F.sum("n").alias("n"))
     context = F.floor(F.col("code") / size).cast("int")
-    return found.select(context.alias("context"), (F.col("code") % size).cast("int").alias("word"), "n")
+    found = found.select(context.alias("context"), (F.col("code") % size).cast("int").alias("word"), "n")
+    # Dealt by contexts once; counting needs no further shuffle.
+    found = found.repartition(parts, "context").groupBy("context", "word").agg(F.sum("n").alias("n"))
+    return found.withColumn("part", F.pmod(F.xxhash64("context"), F.lit(parts)).cast("int"))
 
 
 class Part:
@@ -208,12 +210,20 @@ def improved(model: Model, part: Part, share: np.ndarray, rate: float, seed: int
 
 
 def _learner(model: Model, share: np.ndarray, seed: int, turn: int):
-    def run(key, table):
-        part, number = Part(*[table[c].to_numpy() for c in ("context", "word", "n")], len(share)), key[0].as_py()
-        better = improved(model, part, share, RATE * (1 - turn / ROUNDS), seed * 1_000_003 + turn * PARTS + number)
-        packed = [p.astype(np.float32).tobytes() for p in (*better, part.weights())]
-        return pa.table([pa.array([number], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]],
-                        names=["part", *Model._fields, "weights"])
+    """A round over the rows of a task; a part is in one task unless its file is larger than a split."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for batch in batches:
+            number, *columns = (batch.column(c).to_numpy() for c in ("part", "context", "word", "n"))
+            for part in np.unique(number):
+                held.setdefault(int(part), []).append([c[number == part] for c in columns])
+        for number in sorted(held):
+            part = Part(*map(np.concatenate, zip(*held.pop(number), strict=True)), len(share))
+            better = improved(model, part, share, RATE * (1 - turn / ROUNDS), seed * 1_000_003 + turn * PARTS + number)
+            packed = [p.astype(np.float32).tobytes() for p in (*better, part.weights())]
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]],
+                                             names=["part", *Model._fields, "weights"])
 
     return run
 
@@ -235,7 +245,8 @@ def _averaged(model: Model, found: list) -> Model:
 def estimate(counts: DataFrame, size: int, seed: int = 1) -> Model:
     """Noise-contrastive estimation from ``context_counts``, by averaging what parts of the contexts learn.
 
-    A part's counts are in one task: at most a ``PARTS``-th of size squared contexts, each with at most size words.
+    The counts are dealt and written once; rounds read them where they are, without a shuffle. A part has about a
+    ``PARTS``-th of at most size squared contexts, each with at most size words.
     What the driver takes is one set of parameters per part.
     """
     shares = counts.groupBy("word").agg(F.sum("n").alias("n")).toArrow()
@@ -247,12 +258,9 @@ def estimate(counts: DataFrame, size: int, seed: int = 1) -> Model:
         rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32), rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32),
         np.stack([np.eye(DIMENSIONS, dtype=np.float32)] * LAGS), np.log(share),
     )
-    # No part has less than a step's contexts, as far as they go round.
-    several = min(PARTS, math.ceil(counts.select("context").distinct().count() / BLOCK)) or 1
-    parts = counts.withColumn("part", F.pmod(F.xxhash64("context"), F.lit(several)).cast("int"))
     for turn in range(ROUNDS):
         schema = "part int, " + ", ".join(f"{name} binary" for name in (*Model._fields, "weights"))
-        found = parts.groupBy("part").applyInArrow(_learner(model, share, seed, turn), schema).collect()
+        found = counts.mapInArrow(_learner(model, share, seed, turn), schema).collect()
         if not found:
             break
         model = _averaged(model, sorted(found, key=lambda r: r["part"]))
@@ -286,7 +294,9 @@ def train(texts: DataFrame) -> tuple[Scorer, DataFrame]:
     bucket_tokens, bucket_words = [0] * BUCKETS, [0] * BUCKETS
     for r in rest.agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
         bucket_tokens[r["b"]], bucket_words[r["b"]] = r["n"], r["v"]
-    model = estimate(store(context_counts(texts, vocabulary)), vocabulary.size)
+    # No part has less than a step's contexts, as far as the words make so many.
+    parts = min(PARTS, math.ceil((totals["v"] + 1) ** 2 / BLOCK))
+    model = estimate(store(context_counts(texts, vocabulary, parts)), vocabulary.size)
     return Scorer(vocabulary, model, frequent, totals["n"], totals["v"], bucket_tokens, bucket_words), counts
 
 

@@ -5,7 +5,7 @@ a grant that is wrapped over several lines is one paragraph. Its features are wo
 that hold a term: any word of the wordings learned from but those every text has (``COMMON``). A logistic regression over
 them, trained here, tells the licence families and the class of other text apart. It learns from many wordings of every
 family, names put into frames by rule and sentences of the licences themselves, each alone and amid corpus text; from
-corpus paragraphs (a bounded sample, ``PARAGRAPHS``, of those that share no triple with a wording); and from sentences
+all different corpus paragraphs that share no triple with a wording, counted by their features; and from sentences
 that use the terms in other senses (``CONTRAST``). A third of the corpus paragraphs is kept for calibration: a family is
 believed only above the probability that all but one in ``FALSE_SHARE`` of them stay below. A believed family is
 confirmed by comparing the paragraph with the family's wordings: the pairs they share, as a part of the shorter one. A
@@ -141,9 +141,9 @@ COMMON = frozenset(
     " were which will with without work works world you your 0 1 2 3 4".split()
 )
 OTHER, UNKNOWN, PROPRIETARY = "other", "unknown", "proprietary"
-#: Corpus paragraphs to learn and calibrate from.
-PARAGRAPHS = 6_000
 FALSE_SHARE = 1_000
+#: No family is believed below this probability.
+LEAST = 0.5
 #: Share of pairs that confirms a wording; paragraphs between a reservation of rights and the licence it heads.
 CONFIRMED, BESIDE = 0.5, 2
 REGULARISATION, ITERATIONS = 1e-4, 100
@@ -197,17 +197,9 @@ def _paragraphs(docs: DataFrame) -> DataFrame:
     return once(each, words=_words(F.col("text"))).drop("text").where(F.size("words") > 0)
 
 
-def _sample(docs: DataFrame) -> DataFrame:
-    """``mark, words`` of at most ``PARAGRAPHS`` different paragraphs, those with the smallest hashes among one of each document.
-
-    The paragraph is picked by a hash of the text, so that a document is as likely to give any of its paragraphs.
-    """
-    parts = F.split("text", _ENDS)
-    text = F.get(parts, F.pmod(F.xxhash64("text"), F.size(parts)).cast("int"))
-    picked = docs.where(F.length("text") > 0).select(text.alias("text")).select(F.xxhash64("text").alias("mark"), "text")
-    last = picked.select("mark").distinct().orderBy("mark").limit(PARAGRAPHS).agg(F.max("mark")).first()[0]
-    few = picked.where(F.col("mark") <= (last if last is not None else 0)).dropDuplicates(["mark"])
-    return once(few, words=_words(F.col("text"))).drop("text").where(F.size("words") > 0)
+def _listed(values: list[str]) -> str:
+    """Words, or words with blanks between them, as the list of an SQL ``IN``, which is looked up by hash."""
+    return ", ".join(f"'{v}'" for v in sorted(values))
 
 
 class Scanner:
@@ -221,52 +213,87 @@ class Scanner:
         # Bounded by the wordings. Single words are features if they are terms, longer ones if they hold one.
         held = set(self.terms)
         self.vocabulary = [r["g"] for r in grams.orderBy("g").collect() if held & set(r["g"].split())]
-        triples = F.explode(_grams(F.col("words"), 3)).alias("g")
-        known = self.wordings.select(triples).distinct()
-        sampled = store(_sample(docs))
-        # Paragraphs that hold a part of a wording are no examples of other text.
-        alike = sampled.select("mark", triples).join(known, "g", "left_semi").select("mark").distinct()
-        self._fit(store(sampled.join(alike, "mark", "left_anti")))
+        worded = [re.findall(_WORD, text.lower()) for _, text in wordings()]
+        self.known = sorted(set().union(*worded))
+        self.triples = sorted({" ".join(words[i : i + 3]) for words in worded for i in range(len(words) - 2)})
+        self._fit(store(self._corpus(docs)))
+
+    def _corpus(self, docs: DataFrame) -> DataFrame:
+        """``mark, body, head, tail`` of every different paragraph that shares no triple with a wording.
+
+        Only words of wordings can be part of a feature. ``body`` has the runs of such words that hold a term, with a
+        point between them: as a text it has the paragraph's features. ``head`` and ``tail`` are what the first and last
+        twelve words, the last ones backwards, have beside a wording put between them: of a run without a term at most the
+        two words next to it. So most paragraphs come out equal and are counted rather than learned from one by one.
+        """
+        known, term, triple = (_listed(values) for values in (self.known, self.terms, self.triples))
+
+        def runs(words: str) -> Column:
+            return F.expr(f"split(array_join(transform({words}, w -> IF(w IN ({known}), w, '.')), ' '), '[ .]*[.][ .]*')")
+
+        def termed(run: str) -> str:
+            return f"exists(split({run}, ' '), w -> w IN ({term}))"
+
+        def beside(run: str, two: str) -> str:
+            return f"IF({termed(run)}, {run}, regexp_extract({run}, '{two}', 0))"
+
+        def sorted_runs(runs: str) -> str:
+            return f"array_sort(array_distinct(filter({runs}, r -> {termed('r')})))"
+
+        every = _paragraphs(docs).select(F.xxhash64("words").alias("mark"), "words")
+        every = once(every, runs=runs("words"), first=runs("slice(words, 1, 12)"), last=runs("slice(reverse(words), 1, 12)"))
+        threes = "transform(sequence(1, size(split(r, ' ')) - 2), i -> array_join(slice(split(r, ' '), i, 3), ' '))"
+        alike = F.expr(f"exists(filter(runs, r -> size(split(r, ' ')) > 2), r -> exists({threes}, g -> g IN ({triple})))")
+        head = f"array_append({sorted_runs('slice(first, 1, size(first) - 1)')}, {beside('element_at(first, -1)', '(?:[^ ]+ )?[^ ]+$')})"
+        tail = f"array_prepend({sorted_runs('slice(last, 2, size(last))')}, {beside('element_at(last, 1)', '^[^ ]+(?: [^ ]+)?')})"
+        texts = {"body": sorted_runs("runs"), "head": head, "tail": tail}
+        return every.where(~alike).select(
+            "mark", *[F.array_join(F.expr(text), " . ").alias(name) for name, text in texts.items()]
+        ).distinct()
 
     def _examples(self, others: DataFrame) -> DataFrame:
-        """``family, words``: wordings alone, wordings amid corpus text, corpus text, and terms in other senses."""
-        alone = self.wordings.select("family", "words")
+        """``family, words, times``: wordings alone, wordings amid corpus text, corpus text, and terms in other senses."""
+        alone = self.wordings.select("family", "words", F.lit(1).cast("bigint").alias("times"))
         # A name and a sentence have to tell by themselves, whatever they stand among: names without a frame, and
         # sentences, are put amid text as often as all the framed names.
         amid = self._amid(others, alone, 0)
         for shift, texts in ((5, NAMES), (10, TEXTS)):
             known = [" ".join(re.findall(_WORD, t.lower())) for listed in texts.values() for t in listed]
             amid = amid.union(self._amid(others, alone.where(F.array_join("words", " ").isin(*known)), shift))
-        other = others.select(F.lit(OTHER).alias("family"), "words")
-        contrast = others.sparkSession.createDataFrame([(OTHER, re.findall(_WORD, t.lower())) for t in CONTRAST], alone.schema)
+        bodies = others.groupBy("body").agg(F.count("*").alias("times"))
+        other = bodies.select(F.lit(OTHER).alias("family"), F.split("body", " ").alias("words"), "times")
         # As many times as there are names, or the wordings would outweigh them.
-        contrast = contrast.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(len(FRAMES))))).drop("again")
-        return alone.union(amid).union(other).union(contrast)
+        contrast = [(OTHER, re.findall(_WORD, t.lower()), len(FRAMES)) for t in CONTRAST]
+        return alone.union(amid).union(other).union(others.sparkSession.createDataFrame(contrast, alone.schema))
 
     def _amid(self, others: DataFrame, wordings: DataFrame, shift: int) -> DataFrame:
         """Each corpus paragraph around one of the wordings, chosen by its hash. Wordings are few and fixed."""
         count = wordings.count()
         order = Window.orderBy("family", "words")
         numbered = wordings.select("family", F.col("words").alias("wording"), (F.row_number().over(order) - 1).alias("place"))
-        mixed = others.withColumn("place", F.pmod(F.shiftright("mark", shift), F.lit(count))).join(numbered, "place")
-        around = F.concat(F.slice("words", 1, 12), "wording", F.slice(F.reverse("words"), 1, 12))
-        return mixed.select("family", around.alias("words"))
+        place = F.pmod(F.shiftright("mark", shift), F.lit(count)).alias("place")
+        mixed = others.groupBy("head", "tail", place).agg(F.count("*").alias("times")).join(numbered, "place")
+        around = F.concat_ws(" ", "head", F.array_join("wording", " "), "tail")
+        return mixed.select("family", F.array_remove(F.split(around, " "), "").alias("words"), "times")
 
     def _vectors(self, rows: DataFrame) -> DataFrame:
-        counted = CountVectorizerModel.from_vocabulary(self.vocabulary, "grams", "features", binary=True)
-        return counted.transform(rows.withColumn("grams", _features(F.col("words"))))
+        """``family, features, times``: examples with the same features are one that counts as often."""
+        grams = once(rows, all_grams=_features(F.col("words")))
+        kept = F.expr(f"array_sort(filter(all_grams, g -> g IN ({_listed(self.vocabulary)})))").alias("grams")
+        folded = grams.select("family", kept, "times").groupBy("family", "grams").agg(F.sum("times").alias("times"))
+        return CountVectorizerModel.from_vocabulary(self.vocabulary, "grams", "features", binary=True).transform(folded)
 
     def _fit(self, others: DataFrame) -> None:
         held = F.pmod(F.shiftright("mark", 7), F.lit(3)) == 0
         self.families = sorted({*NAMES, *TEXTS}) + [OTHER]
         label = F.array_position(F.lit(self.families), F.col("family")) - 1
         examples = store(self._vectors(self._examples(others.where(~held))).select(
-            "family", label.cast("double").alias("label"), "features"
+            "family", label.cast("double").alias("label"), "features", "times"
         ))
         # A family counts as much as any other, however many names it has, and other text as much as all of them.
-        sizes = examples.groupBy("family").agg(F.count("*").alias("n"))
+        sizes = examples.groupBy("family").agg(F.sum("times").alias("n"))
         share = F.when(F.col("family") == OTHER, float(len(self.families) - 1)).otherwise(1.0)
-        weighted = examples.join(F.broadcast(sizes), "family").withColumn("weight", 100 * share / F.col("n"))
+        weighted = examples.join(F.broadcast(sizes), "family").withColumn("weight", 100 * share * F.col("times") / F.col("n"))
         model = LogisticRegression(
             family="multinomial", regParam=REGULARISATION, maxIter=ITERATIONS, standardization=False, weightCol="weight"
         ).fit(weighted.select("label", "features", "weight"))
@@ -274,12 +301,12 @@ class Scanner:
         self.bias = [float(b) for b in model.interceptVector.toArray()]
         table = [(gram, [float(w) for w in weights[:, i]]) for i, gram in enumerate(self.vocabulary)]
         self.weights = store(others.sparkSession.createDataFrame(table, "gram string, weights array<double>"))
-        kept = others.where(held)
-        scored = kept.select("mark").join(self._probabilities(kept, "mark"), "mark", "left")
-        # A paragraph without a feature counts as well.
-        sure = F.coalesce("probability", F.lit(0.0)).alias("probability")
-        seen = scored.select(sure).agg(F.expr(f"percentile(probability, {1 - 1 / FALSE_SHARE})")).first()[0]
-        self.believed = max(0.5, seen or 0.0)
+        kept = others.where(held).groupBy("body").agg(F.count("*").alias("n"))
+        scored = kept.join(self._probabilities(kept.select("body", F.split("body", " ").alias("words")), "body"), "body", "left")
+        # A paragraph without a feature counts as well. Below a half nothing is believed, so those need not be told apart.
+        sure = F.greatest(F.coalesce("probability", F.lit(0.0)), F.lit(LEAST)).alias("sure")
+        seen = scored.select(sure, "n").agg(F.expr(f"percentile(sure, {1 - 1 / FALSE_SHARE}, n)")).first()[0]
+        self.believed = max(LEAST, seen or 0.0)
 
     def _probabilities(self, rows: DataFrame, *keys: str) -> DataFrame:
         """``family, probability`` of the likeliest family of every paragraph with a feature; told apart by ``keys``."""

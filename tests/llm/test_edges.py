@@ -11,6 +11,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from stratalake.llm import (
     chat, components, decontaminate, language_id, licences, lm, near_dedup, packing, pii, quality, warc,
@@ -591,3 +592,36 @@ def test_whole_licence_texts(spark):
         counts.setdefault(r["doc_id"], {})[r["family"]] = r["count"]
     assert [max(counts[i], key=counts[i].get) for i in range(len(names))] == list(names.values())
     assert counts[list(names).index("BSD")].keys() == {"bsd"}
+
+
+def test_licences_are_learned_from_every_paragraph(spark):
+    """Each different paragraph counts, also several of one document; folding leaves all features as they are."""
+    rng = np.random.default_rng(5)
+    words = ["the", "software", "public", "zebra", "under", "license", "a", "quokka", "rights", "terms", "of", "general", "mit"]
+    lines = [" ".join(rng.choice(words, n)) for n in rng.integers(1, 40, 300)]
+    texts = ["\n\n".join(lines[i : i + 6]) for i in range(0, 300, 6)] + [lines[0], None, ""]
+    scanner = licences.Scanner(frame(spark, []))
+    triples = set(scanner.triples)
+
+    def grams(words, size):
+        return {" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+    def features(words):
+        return sorted((grams(words, 1) | grams(words, 2) | grams(words, 3)) & set(scanner.vocabulary))
+
+    different = {tuple(line.split()) for line in lines}
+    different = [list(w) for w in different if not grams(w, 3) & triples]
+    corpus = scanner._corpus(frame(spark, list(enumerate(texts))))
+    marks = {r["mark"]: r for r in corpus.collect()}
+    assert len(marks) == corpus.count() == len(different) > 200
+    hashed = spark.createDataFrame([(w,) for w in different], "words array<string>").select("words", F.xxhash64("words").alias("mark"))
+    wording = "under the terms of the mit license".split()
+    for r in hashed.collect():
+        row, plain = marks[r["mark"]], list(r["words"])
+        assert features(row["body"].split()) == features(plain)
+        amid = plain[:12] + wording + plain[::-1][:12]
+        assert features([*row["head"].split(), *wording, *row["tail"].split()]) == features(amid)
+    found = scanner._vectors(scanner._examples(corpus)).groupBy("family").agg(F.sum("times").alias("n")).collect()
+    counted = {r["family"]: r["n"] for r in found}
+    assert counted[licences.OTHER] == len(different) + len(licences.CONTRAST) * len(licences.FRAMES)
+    assert sum(counted.values()) - counted[licences.OTHER] == scanner.wordings.count() + 3 * len(different)

@@ -51,6 +51,10 @@ PARTS, BLOCK, STEPS = 32, 512, 40
 ENDING = 3  # bytes of a word that name its bucket
 #: Entries a task gathers before it hands them on.
 GATHERED = 300_000
+#: Words whose symbol a task remembers; beyond that it starts anew.
+REMEMBERED = 200_000
+#: Tokens whose contexts, eight bytes each, a task gathers before it counts them.
+CONTEXTS_GATHERED = 4_000_000
 
 
 class Vocabulary(NamedTuple):
@@ -62,6 +66,19 @@ class Vocabulary(NamedTuple):
         return len(self.words) + zlib.crc32(word[-ENDING:]) % BUCKETS if known is None else known
 
 
+class Symbols(dict):
+    """Symbols by word, worked out once for each word that is remembered."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.symbol = vocabulary.symbol
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = found = self.symbol(word)
+        return found
+
+
 class Model(NamedTuple):
     vectors: np.ndarray  # symbol x dimension, as context
     targets: np.ndarray  # symbol x dimension, as word predicted
@@ -125,28 +142,28 @@ def context_counts(texts: DataFrame, vocabulary: Vocabulary, parts: int = 1) ->
     def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         codes, n = np.unique(np.concatenate(held), return_counts=True)
         for at in range(0, len(codes), GATHERED):
-            part = codes[at : at + GATHERED], n[at : at + GATHERED]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, part)], names=["code", "n"])
+            part = codes[at : at + GATHERED]
+            columns = (part // size).astype(np.int32), (part % size).astype(np.int32), n[at : at + GATHERED]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["context", "word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, filled = [], 0
+        held, filled, known = [], 0, Symbols(vocabulary)
         for batch in batches:
             for text in batch.column(0).cast(pa.binary()):
-                symbols = np.array([0, 0] + [vocabulary.symbol(w) for w in tokens(text.as_py())])
+                symbols = np.array([0, 0, *map(known.__getitem__, tokens(text.as_py()))])
                 held.append((symbols[1:-1] * size + symbols[:-2]) * size + symbols[2:])
                 filled += len(symbols)
-                if filled > 4 * GATHERED:
+                if filled > CONTEXTS_GATHERED:
                     yield from counted(held)
                     held, filled = [], 0
         if held:
             yield from counted(held)
 
-    found = in_small_batches(texts.select("text")).mapInArrow(run, "code bigint, n bigint")
-    context = F.floor(F.col("code") / size).cast("int")
-    found = found.select(context.alias("context"), (F.col("code") % size).cast("int").alias("word"), "n")
-    # Dealt by contexts once; counting needs no further shuffle.
+    found = in_small_batches(texts.select("text")).mapInArrow(run, "context int, word int, n bigint")
+    # Dealt by contexts once; counting needs no further shuffle. A part is what one task has and writes, so no two
+    # files hold pieces of the same part.
     found = found.repartition(parts, "context").groupBy("context", "word").agg(F.sum("n").alias("n"))
-    return found.withColumn("part", F.pmod(F.xxhash64("context"), F.lit(parts)).cast("int"))
+    return found.withColumn("part", F.spark_partition_id())
 
 
 class Part:
@@ -180,9 +197,17 @@ def gradients(model: Model, context: np.ndarray, counts: np.ndarray, share: np.n
     vectors, targets, lags, bias = model
     places = [context // len(targets), context % len(targets)]
     predicted = sum(vectors[at] @ lag for at, lag in zip(places, lags, strict=True))
-    odds = 1 / (1 + np.exp(-np.clip(predicted @ targets.T + (bias - np.log(NOISE * share)), -30, 30)))
+    # The arrays of contexts by words are worked on in place: there are many steps, and making new ones costs most.
+    odds = predicted @ targets.T
+    odds += bias - np.log(NOISE * share)
+    np.clip(odds, -30, 30, out=odds)
+    np.exp(np.negative(odds, out=odds), out=odds)
+    odds += 1
+    np.reciprocal(odds, out=odds)
     weight = np.sqrt(counts.sum(axis=1, keepdims=True))
-    push = counts / weight * (1 - odds) - weight * (NOISE * share) * odds
+    push = counts / weight
+    odds *= push + weight * (NOISE * share)
+    push -= odds
     push /= weight.sum()
     back = push @ targets
     by_vector = np.zeros_like(vectors)

@@ -332,6 +332,18 @@ def test_lm_context_counts(spark):
     }
 
 
+def test_lm_parts_lie_in_one_task_each(spark):
+    """A round trains what a task has of a part: pieces of all parts in all tasks would be tasks times parts models."""
+    words = np.random.default_rng(7).integers(0, 40, (50, 60))
+    texts = frame(spark, [(i, " ".join(f"w{w}" for w in line)) for i, line in enumerate(words.tolist())])
+    vocabulary = lm.Vocabulary({b"": 0} | {f"w{w}".encode(): w + 1 for w in range(40)}, 41 + lm.BUCKETS)
+    rows = lm.context_counts(texts, vocabulary, 4).withColumn("task", F.spark_partition_id()).collect()
+    tasks = {(r["part"], r["task"]) for r in rows}
+    assert len(tasks) == len({part for part, _ in tasks}) == 4
+    # No context is in two parts.
+    assert len({(r["context"], r["part"]) for r in rows}) == len({r["context"] for r in rows})
+
+
 def test_lm_gradients_are_those_of_the_objective():
     rng = np.random.default_rng(3)
     size, context, counts = 6, np.array([7, 20, 33]), rng.integers(0, 5, (3, 6)).astype(np.float64)

@@ -1,8 +1,10 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-The index is a stored table of postings ``term, doc, pos``, one for every word of every text. Each task that reads
-texts writes a segment of its own, sorted by a hash of the term, so building it moves no rows between tasks and
-the postings of a term lie together. A posting without a term closes each document and holds its length.
+The index is a stored table of postings ``slot, doc, pos``, one for every word of every text; the slot is a hash of
+the word, the term. Texts are dealt out by the bytes there are, about ``SEGMENT`` to a task, and each task writes a
+segment of its own, sorted by slot: what a task sorts does not grow with the files that texts come in, no
+postings move between tasks, and those of a term lie together. A posting without a slot closes each document and
+holds its length. Terms that share a slot share a list, which the comparison with the text sorts out.
 
 A phrase is searched from its two rarest terms: their lists, shifted by the terms' places in the phrase, are
 intersected, and what is left is compared word by word with the text. Phrases with a term that no document has
@@ -29,6 +31,8 @@ WINDOW = 13
 SHARE = 20
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CLOSING = ""  # no word is empty
+#: Bytes of text whose postings a task sorts, about 1.3 million of 60 bytes each while they are sorted.
+SEGMENT = 8 << 20
 
 
 def words_of(text: Column) -> Column:
@@ -43,16 +47,23 @@ def _slot(term: Column) -> Column:
     return F.xxhash64(term)
 
 
+def _spread(docs: DataFrame) -> DataFrame:
+    """Documents dealt out evenly, copies as well, into tasks of about ``SEGMENT`` bytes of text."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
+    rows = _documents(docs).withColumn("row", F.monotonically_increasing_id())
+    return rows.repartition(-(-size // SEGMENT) or 1, "row")
+
+
 def build_index(docs: DataFrame) -> DataFrame:
-    """Write the postings ``slot, term, doc, pos, doc_id`` of all texts; the id is in closing postings only.
+    """Write the postings ``slot, doc, pos, doc_id`` of all texts; the id is in closing postings only.
 
-    The slot is the term's hash: numbers are sorted without comparing rows, and a task's commonest terms
-    would need that most.
+    Rows are sorted by numbers and carry no words, as all words of a segment lie in memory at once.
     """
     spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "postings")
     closed = F.concat(words_of(F.col("text")), F.array(F.lit(CLOSING)))
-    postings = _documents(docs).select("doc", "doc_id", F.posexplode(closed).alias("pos", "term")).select(
-        _slot(F.col("term")).alias("slot"), "term", "doc", "pos", F.when(F.col("term") == CLOSING, F.col("doc_id")).alias("doc_id")
+    closing = F.col("term") == CLOSING
+    postings = _spread(docs).select("doc", "doc_id", F.posexplode(closed).alias("pos", "term")).select(
+        F.when(~closing, _slot(F.col("term"))).alias("slot"), "doc", "pos", F.when(closing, F.col("doc_id")).alias("doc_id")
     )
     postings.sortWithinPartitions("slot").write.option("compression", "zstd").parquet(path)
     return spark.read.schema(postings.schema).parquet(path)
@@ -67,22 +78,25 @@ def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
 
 
 def _anchored(phrases: DataFrame, index: DataFrame) -> DataFrame:
-    """Phrases ``phrase, words, ...`` that can occur, with places and terms of their two rarest words."""
-    counts = index.where(F.col("term") != CLOSING).groupBy("term").agg(F.count("*").alias("times"))
-    places = phrases.select("phrase", F.posexplode("words").alias("place", "term")).join(counts, "term")
-    rarest = F.array_sort(F.collect_list(F.struct("times", "place", "term")))
-    ranked = places.groupBy("phrase").agg(rarest.alias("r"))
+    """Phrases ``phrase, words, ...`` that can occur, with places and slots of their two rarest words."""
+    each = phrases.select("phrase", F.posexplode("words").alias("place", "term"))
+    places = each.select("phrase", "place", _slot(F.col("term")).alias("slot"))
+    # Written first, so that its size is known: while it is small, the postings need not be moved for the join.
+    asked = store(places.select("slot").distinct())
+    counts = index.select("slot").join(asked, "slot", "left_semi").groupBy("slot").agg(F.count("*").alias("times"))
+    rarest = F.array_sort(F.collect_list(F.struct("times", "place", "slot")))
+    ranked = places.join(counts, "slot").groupBy("phrase").agg(rarest.alias("r"))
     second = F.coalesce(F.get("r", F.lit(1)), F.get("r", F.lit(0)))  # a phrase of one word meets itself
     return phrases.join(ranked, "phrase").where(F.size("r") == F.size("words")).select(
-        *phrases.columns, F.col("r")[0]["term"].alias("first"), F.col("r")[0]["place"].alias("place"),
-        second["term"].alias("second"), (second["place"] - F.col("r")[0]["place"]).alias("apart"),
+        *phrases.columns, F.col("r")[0]["slot"].alias("first"), F.col("r")[0]["place"].alias("place"),
+        second["slot"].alias("second"), (second["place"] - F.col("r")[0]["place"]).alias("apart"),
     )
 
 
 def _lists(index: DataFrame, anchored: DataFrame) -> DataFrame:
     """Postings of the anchor terms."""
-    terms = anchored.select(F.explode(F.array("first", "second")).alias("term")).distinct()
-    return store(index.select("term", "doc", "pos").join(terms, "term", "left_semi"))
+    slots = store(anchored.select(F.explode(F.array("first", "second")).alias("slot")).distinct())
+    return store(index.select("slot", "doc", "pos").join(slots, "slot", "left_semi"))
 
 
 def _pairs(anchored: DataFrame) -> DataFrame:
@@ -93,10 +107,10 @@ def phrase_candidates(index: DataFrame, phrases: DataFrame) -> DataFrame:
     """``doc, phrase, start`` wherever the two rarest words of a phrase stand as in the phrase."""
     anchored = store(_anchored(phrases, index))
     lists, pairs = _lists(index, anchored), _pairs(anchored)
-    one = lists.join(pairs, F.col("term") == F.col("first")).select(
+    one = lists.join(pairs, F.col("slot") == F.col("first")).select(
         "doc", "first", "second", "apart", (F.col("pos") + F.col("apart")).alias("meet")
     )
-    other = lists.join(pairs, F.col("term") == F.col("second")).select(
+    other = lists.join(pairs, F.col("slot") == F.col("second")).select(
         "doc", "first", "second", "apart", F.col("pos").alias("meet")
     )
     met = one.join(other, ["doc", "meet", "first", "second", "apart"], "left_semi")
@@ -108,16 +122,17 @@ def phrase_candidates(index: DataFrame, phrases: DataFrame) -> DataFrame:
 def near_matches(index: DataFrame, phrases: DataFrame, within: int) -> DataFrame:
     """``doc, phrase, first_pos, second_pos``: the two rarest words of a phrase at most ``within`` words apart.
 
-    Positions meet in stretches of ``within + 1`` words and the one after, so each pair is found once.
+    Positions meet in stretches of ``within + 1`` words and the one after, so each pair is found once. Words are told
+    apart by their 64-bit slots alone here, as documents are.
     """
     anchored = store(_anchored(phrases, index))
     lists, pairs = _lists(index, anchored), _pairs(anchored)
     stretch = F.floor(F.col("pos") / (within + 1))
-    one = lists.join(pairs, F.col("term") == F.col("first")).select(
+    one = lists.join(pairs, F.col("slot") == F.col("first")).select(
         "doc", "first", "second", "apart", F.col("pos").alias("first_pos"),
         F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("stretch"),
     )
-    other = lists.join(pairs, F.col("term") == F.col("second")).select(
+    other = lists.join(pairs, F.col("slot") == F.col("second")).select(
         "doc", "first", "second", "apart", F.col("pos").alias("second_pos"), stretch.alias("stretch")
     )
     met = one.join(other, ["doc", "stretch", "first", "second", "apart"])
@@ -146,8 +161,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     index = build_index(docs)
     phrases = store(windows(items, window).withColumn("phrase", F.monotonically_increasing_id()))
     hits = _hits(docs, index, phrases).withColumnRenamed("doc", "_doc").withColumnRenamed("doc_id", "_id")
-    closing = (F.col("slot") == _slot(F.lit(CLOSING))) & (F.col("term") == CLOSING)
-    lengths = index.where(closing).select("doc", "doc_id", F.col("pos").cast("bigint").alias("n_words"))
+    lengths = index.where("slot IS NULL").select("doc", "doc_id", F.col("pos").cast("bigint").alias("n_words"))
     rows = lengths.join(hits, (F.col("doc") == F.col("_doc")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("bigint")
     return rows.select(

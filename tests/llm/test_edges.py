@@ -191,6 +191,27 @@ def test_proximity(spark):
     assert places == [(0, 1), (0, 3)]
 
 
+def test_postings_are_sorted_in_segments(spark, monkeypatch):
+    """What a task sorts is bounded by ``SEGMENT`` and has no words in it, however few files the texts are in."""
+    monkeypatch.setattr(decontaminate, "SEGMENT", 2000)
+    texts = frame(spark, [(i % 7, f"alpha w{i} beta") for i in range(1000)]).coalesce(1)
+    index = decontaminate.build_index(texts)
+    assert set(index.columns) == {"slot", "doc", "pos", "doc_id"}
+    per_file = [r["count"] for r in index.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == 4000 and len(per_file) > 4 and max(per_file) < 1000
+    closing = index.where("slot IS NULL").select("doc_id", "pos").collect()
+    assert sorted(tuple(r) for r in closing) == sorted((i % 7, 3) for i in range(1000))
+    items = spark.createDataFrame([(1, "alpha w5 beta")], "item_id bigint, text string")
+    assert decontaminate.contamination(texts, items).where("contaminated").count() == 1
+
+
+def test_terms_that_no_item_has_are_not_counted(spark):
+    texts = frame(spark, [(i, f"alpha w{i} beta") for i in range(50)])
+    phrases = spark.createDataFrame([(7, ["alpha", "w3"]), (8, ["alpha", "nowhere"])], "phrase bigint, words array<string>")
+    found = decontaminate.phrase_candidates(decontaminate.build_index(texts), phrases).collect()
+    assert [(r["phrase"], r["start"]) for r in found] == [(7, 0)]
+
+
 def test_pii(docs, empty):
     found = pii.report(docs)
     columns = ("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")

@@ -9,8 +9,8 @@ pair of context words.
 
 The model learns from the whole training corpus, as counts of two context words and the word after them, which Spark
 sums; they grow with the corpus up to symbols cubed. They are dealt out by their contexts into ``PARTS``,
-or fewer where a part would have less than ``STEPS`` blocks of ``BLOCK`` contexts. In each of
-``ROUNDS`` every part takes steps from the common parameters over all its contexts, in numpy, and the driver averages
+or fewer where a part would have less than ``STEPS`` blocks of ``BLOCK`` contexts, and move as sorted arrays. In each of
+``ROUNDS`` every part takes steps from the common parameters over all its contexts, in numpy, and a task averages
 what the parts return, weighted by what each has seen. The noise term of the estimation objective is worked out for
 every noise word rather than sampled.
 
@@ -49,7 +49,7 @@ DIMENSIONS, ROUNDS, RATE, NOISE = 32, 4, 0.03, 10
 #: Parts of the contexts, contexts per step, and the least number of steps a part takes in a round.
 PARTS, BLOCK, STEPS = 32, 512, 40
 ENDING = 3  # bytes of a word that name its bucket
-#: Entries a task gathers before it hands them on.
+#: Entries a task gathers before it hands them on, and codes in a row of packed counts.
 GATHERED = 300_000
 #: Words whose symbol a task remembers; beyond that it starts anew.
 REMEMBERED = 200_000
@@ -132,25 +132,57 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return _gathered(texts, "word string, n bigint", tokens, emit).groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def context_counts(texts: DataFrame, vocabulary: Vocabulary, parts: int = 1) -> DataFrame:
-    """``context, word, n, part``: how often a word follows two others; context = the one just before * size + the other.
+def _packed(part: int, codes: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows ``part, gaps, n`` of ascending codes, each with some of them: arrays move and compress better than rows."""
+    for at in range(0, len(codes), GATHERED):
+        gaps = np.diff(codes[at : at + GATHERED], prepend=np.int32(0))
+        held = [gaps.tobytes()], [n[at : at + GATHERED].astype(np.int64).tobytes()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), *[pa.array(h, pa.binary()) for h in held]], names=["part", "gaps", "n"]
+        )
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Part, codes and counts of each row that ``_packed`` has made."""
+    for batch in batches:
+        for part, gaps, n in zip(*(batch.column(c).to_pylist() for c in ("part", "gaps", "n")), strict=True):
+            yield part, np.cumsum(np.frombuffer(gaps, np.int32), dtype=np.int32), np.frombuffer(n, np.int64)
+
+
+def _added(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of codes and counts as one, every code once."""
+    codes, n = map(np.concatenate, zip(*pieces, strict=True))
+    order = np.argsort(codes, kind="stable")
+    codes, n = codes[order], n[order]
+    first = np.flatnonzero(np.diff(codes, prepend=np.int32(-1)))
+    return codes[first], np.add.reduceat(n, first)
+
 
-    Before the first word of a text stands the end of another.
+def packed_counts(texts: DataFrame, vocabulary: Vocabulary, parts: int = 1) -> DataFrame:
+    """``part, gaps, n``: how often a word follows two others, as arrays in ascending order of their codes.
+
+    A code is context * size + word, a context the word just before * size + the other; as there are at most 1,024
+    symbols, it has 30 bits. Before the first word of a text stands the end of another. A part's contexts are its
+    own, and one task has and writes all of it.
     """
     size = vocabulary.size
 
     def counted(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         codes, n = np.unique(np.concatenate(held), return_counts=True)
-        for at in range(0, len(codes), GATHERED):
-            part = codes[at : at + GATHERED]
-            columns = (part // size).astype(np.int32), (part % size).astype(np.int32), n[at : at + GATHERED]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["context", "word", "n"])
+        part = ((codes // size).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(parts)
+        part = part.astype(np.uint16)
+        order = np.argsort(part, kind="stable")
+        ends = np.cumsum(np.bincount(part, minlength=parts))
+        for number, rows in enumerate(np.split(order, ends[:-1])):
+            yield from _packed(number, codes[rows], n[rows])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, filled, known = [], 0, Symbols(vocabulary)
         for batch in batches:
             for text in batch.column(0).cast(pa.binary()):
-                symbols = np.array([0, 0, *map(known.__getitem__, tokens(text.as_py()))])
+                words = tokens(text.as_py())
+                symbols = np.zeros(LAGS + len(words), np.int32)
+                symbols[LAGS:] = np.fromiter(map(known.__getitem__, words), np.int32, len(words))
                 held.append((symbols[1:-1] * size + symbols[:-2]) * size + symbols[2:])
                 filled += len(symbols)
                 if filled > CONTEXTS_GATHERED:
@@ -159,11 +191,32 @@ def context_counts(texts: DataFrame, vocabulary: Vocabulary, parts: int = 1) ->
         if held:
             yield from counted(held)
 
-    found = in_small_batches(texts.select("text")).mapInArrow(run, "context int, word int, n bigint")
-    # Dealt by contexts once; counting needs no further shuffle. A part is what one task has and writes, so no two
-    # files hold pieces of the same part.
-    found = found.repartition(parts, "context").groupBy("context", "word").agg(F.sum("n").alias("n"))
-    return found.withColumn("part", F.spark_partition_id())
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for part, codes, n in _unpacked(batches):
+            pieces = held.setdefault(part, [])
+            pieces.append((codes, n))
+            # Added up whenever what is new outgrows what is there, so that a task holds little more than the sum.
+            if sum(len(c) for c, _ in pieces[1:]) > max(CONTEXTS_GATHERED, len(pieces[0][0])):
+                held[part] = [_added(pieces)]
+        for part in sorted(held):
+            yield from _packed(part, *_added(held.pop(part)))
+
+    schema = "part int, gaps binary, n binary"
+    found = in_small_batches(texts.select("text")).mapInArrow(run, schema)
+    return found.repartitionById(parts, F.col("part")).mapInArrow(add, schema)
+
+
+def context_counts(texts: DataFrame, vocabulary: Vocabulary, parts: int = 1) -> DataFrame:
+    """The rows ``context, word, n, part`` of ``packed_counts``."""
+    size = vocabulary.size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, codes, n in _unpacked(batches):
+            columns = codes // size, codes % size, n, np.full(len(codes), part, np.int32)
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["context", "word", "n", "part"])
+
+    return packed_counts(texts, vocabulary, parts).mapInArrow(run, "context int, word int, n bigint, part int")
 
 
 class Part:
@@ -236,15 +289,14 @@ def improved(model: Model, part: Part, share: np.ndarray, rate: float, seed: int
 
 def _learner(model: Model, share: np.ndarray, seed: int, turn: int):
     """A round over the rows of a task; a part is in one task unless its file is larger than a split."""
+    size = len(share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
-        for batch in batches:
-            number, *columns = (batch.column(c).to_numpy() for c in ("part", "context", "word", "n"))
-            for part in np.unique(number):
-                held.setdefault(int(part), []).append([c[number == part] for c in columns])
+        for number, codes, n in _unpacked(batches):
+            held.setdefault(number, []).append((codes // size, codes % size, n))
         for number in sorted(held):
-            part = Part(*map(np.concatenate, zip(*held.pop(number), strict=True)), len(share))
+            part = Part(*map(np.concatenate, zip(*held.pop(number), strict=True)), size)
             better = improved(model, part, share, RATE * (1 - turn / ROUNDS), seed * 1_000_003 + turn * PARTS + number)
             packed = [p.astype(np.float32).tobytes() for p in (*better, part.weights())]
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), *[pa.array([p], pa.binary()) for p in packed]],
@@ -267,28 +319,39 @@ def _averaged(model: Model, found: list) -> Model:
     return Model(**mixed)
 
 
-def estimate(counts: DataFrame, size: int, seed: int = 1) -> Model:
-    """Noise-contrastive estimation from ``context_counts``, by averaging what parts of the contexts learn.
+def _averager(model: Model):
+    """The parts' parameters, of which there are few, as one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [row for batch in batches for row in batch.to_pylist()]
+        if found:
+            mixed = _averaged(model, sorted(found, key=lambda r: r["part"]))
+            yield pa.RecordBatch.from_arrays([pa.array([p.tobytes()], pa.binary()) for p in mixed], names=list(Model._fields))
+
+    return run
+
+
+def estimate(counts: DataFrame, seen: np.ndarray, seed: int = 1) -> Model:
+    """Noise-contrastive estimation from ``packed_counts``, by averaging what parts of the contexts learn.
 
-    The counts are dealt and written once; rounds read them where they are, without a shuffle. A part has about a
-    ``PARTS``-th of at most size squared contexts, each with at most size words.
-    What the driver takes is one set of parameters per part.
+    ``seen`` is how often each symbol occurs. The counts are dealt and written once; rounds read them where they are.
+    A part has about a ``PARTS``-th of at most size squared contexts, each with at most size words.
+    One task averages the parts' parameters, and the driver takes one set of them a round.
     """
-    shares = counts.groupBy("word").agg(F.sum("n").alias("n")).toArrow()
-    seen = np.ones(size)
-    seen[shares["word"].to_numpy()] += shares["n"].to_numpy()
-    share = (seen / seen.sum()).astype(np.float32)
+    size = len(seen)
+    share = ((seen + 1) / (seen + 1).sum()).astype(np.float32)
     rng = np.random.default_rng(seed)
     model = Model(
         rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32), rng.normal(0, 0.1, (size, DIMENSIONS)).astype(np.float32),
         np.stack([np.eye(DIMENSIONS, dtype=np.float32)] * LAGS), np.log(share),
     )
+    mixed = ", ".join(f"{name} binary" for name in Model._fields)
     for turn in range(ROUNDS):
-        schema = "part int, " + ", ".join(f"{name} binary" for name in (*Model._fields, "weights"))
-        found = counts.mapInArrow(_learner(model, share, seed, turn), schema).collect()
-        if not found:
+        learned = counts.mapInArrow(_learner(model, share, seed, turn), f"part int, {mixed}, weights binary")
+        found = learned.repartition(1).mapInArrow(_averager(model), mixed).first()
+        if found is None:
             break
-        model = _averaged(model, sorted(found, key=lambda r: r["part"]))
+        model = Model(*[np.frombuffer(p, np.float32).reshape(old.shape) for p, old in zip(found, model, strict=True)])
     return model
 
 
@@ -307,7 +370,8 @@ class Scorer(NamedTuple):
 def train(texts: DataFrame) -> tuple[Scorer, DataFrame]:
     """A scorer from all texts, and the table of word counts."""
     counts = store(word_counts(texts))
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    ends = F.coalesce(F.sum(F.when(F.col("word") == "", F.col("n"))), F.lit(0))
+    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v"), ends.alias("ends")).first()
     commonest = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     frequent = {r["word"].encode(): r["n"] for r in commonest}
     words = [END, *[w for w in frequent if w != END][:WORDS]]
@@ -322,7 +386,8 @@ def train(texts: DataFrame) -> tuple[Scorer, DataFrame]:
     # There are no more contexts than tokens or pairs of words; a part gets enough of them for a round of steps.
     contexts = min(totals["n"], (totals["v"] + 1) ** 2)
     parts = max(1, min(PARTS, math.ceil(contexts / (BLOCK * STEPS))))
-    model = estimate(store(context_counts(texts, vocabulary, parts)), vocabulary.size)
+    seen = np.array([totals["ends"], *[frequent[w] for w in words[1:]], *bucket_tokens], np.float64)
+    model = estimate(store(packed_counts(texts, vocabulary, parts)), seen)
     return Scorer(vocabulary, model, frequent, totals["n"], totals["v"], bucket_tokens, bucket_words), counts
 
 

@@ -6,6 +6,7 @@ import math
 import os
 import pathlib
 import re
+from collections import Counter
 
 import brute
 import numpy as np
@@ -365,6 +366,52 @@ def test_lm_parts_lie_in_one_task_each(spark):
     assert len({(r["context"], r["part"]) for r in rows}) == len({r["context"] for r in rows})
 
 
+def test_lm_counts_move_as_arrays(spark, monkeypatch):
+    """The counts of a part are few rows of arrays that add up, however often a task hands on what it has."""
+    monkeypatch.setattr(lm, "GATHERED", 100)
+    monkeypatch.setattr(lm, "CONTEXTS_GATHERED", 500)
+    words = np.random.default_rng(8).integers(0, 30, (80, 50))
+    lines = [" ".join(f"w{w}" for w in line) for line in words.tolist()]
+    vocabulary = lm.Vocabulary({b"": 0} | {f"w{w}".encode(): w + 1 for w in range(30)}, 31 + lm.BUCKETS)
+    want = Counter()
+    for line in lines:
+        symbols = [0, 0, *[vocabulary.symbol(w) for w in lm.tokens(line.encode())]]
+        want.update(zip(symbols[1:-1], symbols[:-2], symbols[2:], strict=True))
+    texts = frame(spark, list(enumerate(lines))).repartition(3)
+    packed = lm.packed_counts(texts, vocabulary, 2).collect()
+    assert len(packed) < len(want) / 50 and all(len(r["n"]) <= 8 * 100 for r in packed)
+    found = lm.context_counts(texts, vocabulary, 2).collect()
+    size = vocabulary.size
+    assert len(found) == len(want)
+    assert {(r["context"] // size, r["context"] % size, r["word"]): r["n"] for r in found} == want
+
+
+def test_lm_parts_are_averaged_before_the_driver(spark, monkeypatch):
+    """The driver takes one set of parameters a round, however many parts there are."""
+    seen = []
+    monkeypatch.setattr(lm, "ROUNDS", 1)
+    texts = frame(spark, [(1, "a b c"), (2, "b c a"), (3, "c a b d")])
+    vocabulary = lm.Vocabulary({b"": 0, b"a": 1, b"b": 2, b"c": 3, b"d": 4}, 5 + lm.BUCKETS)
+    counts = lm.packed_counts(texts, vocabulary, 3)
+    made = lm._averager
+
+    def watched(model):
+        seen.append(model)
+        return made(model)
+
+    monkeypatch.setattr(lm, "_averager", watched)
+    tally = np.zeros(vocabulary.size)
+    tally[:5] = [3, 3, 3, 3, 1]
+    model = lm.estimate(counts, tally)
+    share = ((tally + 1) / (tally + 1).sum()).astype(np.float32)
+    parts = counts.mapInArrow(
+        lm._learner(seen[0], share, 1, 0), "part int, " + ", ".join(f"{n} binary" for n in (*lm.Model._fields, "weights"))
+    ).collect()
+    assert len(parts) > 1
+    for found, want in zip(model, lm._averaged(seen[0], sorted(parts, key=lambda r: r["part"])), strict=True):
+        assert np.allclose(found, want)
+
+
 def test_lm_gradients_are_those_of_the_objective():
     rng = np.random.default_rng(3)
     size, context, counts = 6, np.array([7, 20, 33]), rng.integers(0, 5, (3, 6)).astype(np.float64)

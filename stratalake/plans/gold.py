@@ -39,8 +39,9 @@ def dim_genre(genres: DataFrame, store: Store) -> DataFrame:
 
 
 def keyed_movies(movies: DataFrame, store: Store) -> DataFrame:
-    """Silver movies with their surrogate key. Dimension and fact are both projections of this."""
-    return dense_key(movies, ["movie_id"], "movie_key", store)
+    """Silver movies with their surrogate key. Dimension and fact are both projections of this; neither has the time of
+    ingestion, which is not moved."""
+    return dense_key(movies.drop("ingested_at"), ["movie_id"], "movie_key", store)
 
 
 def dim_movie(keyed: DataFrame) -> DataFrame:

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import BRONZE, GOLD, SILVER, conform
+from ..session import spread
 from ..sources import catalogue, published, tables
-from ..sources.workspace import fresh_path, store
+from ..sources.workspace import fresh_path, packed, store
 from . import gold, silver
 
 
@@ -42,6 +43,7 @@ class Lake:
         if (root is None) != (name is None):
             raise ValueError("a lake to be opened again needs a root and a name")
         self.spark = spark
+        spread(spark)
         self._id = name or uuid.uuid4().hex[:12]
         self._lasting, self._root = root is not None, root or fresh_path(spark, "lake")
         self._source: Lake | None = None
@@ -193,7 +195,7 @@ class Lake:
     @cached_property
     def keyed_movies(self) -> DataFrame:
         """Keys over rows that ``dense_key`` has stored; writing them as a table again would gain nothing."""
-        return gold.keyed_movies(self.silver("movies"), store)
+        return gold.keyed_movies(self.silver("movies"), packed)
 
     def silver(self, name: str) -> DataFrame:
         return self.table(f"silver.{name}")

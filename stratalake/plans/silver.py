@@ -82,9 +82,11 @@ def staged(bronze: DataFrame, adult_default: bool | None = None) -> DataFrame:
 
 
 def movies(stage: DataFrame, policy: str = "priority") -> DataFrame:
-    """One row per movie: its most complete record. The nested arrays stay out of the shuffle."""
-    narrow = stage.drop("genre_ids", "company_names", "language_names")
-    return conform(keep_first(narrow, "movie_id", preference(policy)), SILVER["movies"])
+    """One row per movie: its most complete record. The nested arrays stay out of the shuffle, and so does the year, which
+    the date tells."""
+    narrow = stage.drop("genre_ids", "company_names", "language_names", "release_year")
+    first = keep_first(narrow, "movie_id", preference(policy)).withColumn("release_year", F.year("release_date"))
+    return conform(first, SILVER["movies"])
 
 
 def winners(stage: DataFrame, policy: str = "priority") -> DataFrame:

@@ -28,52 +28,68 @@ def _read(spark: SparkSession, tables: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{tables}/{name}.parquet")
 
 
-def movies(spark: SparkSession, tables: str) -> DataFrame:
-    """One row per movie, dirty on purpose."""
+# What the documents of a movie need of its order. Joins move these columns; texts are made of them afterwards.
+_MOVIE = (
+    "o_orderkey AS id",
+    "concat('  ', o_orderpriority, ' #', o_orderkey, ' ') AS title",
+    "CASE WHEN o_orderkey % 41 <> 0 THEN concat(' ', lower(home_nation), ' ') END AS original_language",
+    "CASE WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderkey % 23 = 0 THEN 'not-a-date'"
+    " WHEN o_orderkey % 31 = 0 THEN NULL ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS release_date",
+    "CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE CAST(floor(o_totalprice) AS BIGINT) END AS budget",
+    "CAST(floor(o_totalprice * (o_orderkey % 13) / 4.0D) AS BIGINT) AS revenue",
+    "CAST(o_orderkey % 200 + CASE WHEN o_orderkey % 53 = 0 THEN 1000 ELSE 0 END AS STRING) AS runtime",
+    "CAST(o_orderkey % 101 AS DOUBLE) / 10 AS vote_average",
+    "CAST(o_orderkey % 17 AS INT) AS vote_count",
+    "o_totalprice / 1000 AS popularity",
+    "CASE WHEN o_orderkey % 89 <> 0 THEN o_orderkey % 97 = 0 END AS adult",
+    "CASE WHEN o_orderkey % 19 = 0 THEN '' WHEN o_orderkey % 29 = 0 THEN '   '"
+    " ELSE concat('about ', o_orderkey) END AS overview",
+    "home_nation AS home_language",
+    "o_orderpriority = '1-URGENT' OR o_totalprice < 100000 AS is_popular",
+    "o_orderpriority = '2-HIGH' OR o_totalprice > 400000 AS is_trending",
+    "o_orderstatus = 'P' AS is_relisted",
+    "year(o_orderdate) AS listed_year",
+)
+_HAS_DETAILS = "NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')"
+
+
+def _orders(spark: SparkSession, tables: str) -> DataFrame:
+    """Orders with the nation of their customer."""
     orders, customer, nation = (_read(spark, tables, t) for t in ("orders", "customer", "nation"))
     return (
         orders
         .join(customer, orders.o_custkey == customer.c_custkey, "left")
         .join(nation, customer.c_nationkey == nation.n_nationkey, "left")
         .selectExpr(
-            "o_orderkey AS id",
-            "concat('  ', o_orderpriority, ' #', o_orderkey, ' ') AS title",
-            "CASE WHEN o_orderkey % 41 <> 0 THEN concat(' ', lower(n_name), ' ') END AS original_language",
-            "CASE WHEN o_orderkey % 11 = 0 THEN '' WHEN o_orderkey % 23 = 0 THEN 'not-a-date'"
-            " WHEN o_orderkey % 31 = 0 THEN NULL ELSE date_format(o_orderdate, 'yyyy-MM-dd') END AS release_date",
-            "CASE WHEN o_orderkey % 5 = 0 THEN 0 ELSE CAST(floor(o_totalprice) AS BIGINT) END AS budget",
-            "CAST(floor(o_totalprice * (o_orderkey % 13) / 4.0D) AS BIGINT) AS revenue",
-            "CAST(o_orderkey % 200 + CASE WHEN o_orderkey % 53 = 0 THEN 1000 ELSE 0 END AS STRING) AS runtime",
-            "CAST(o_orderkey % 101 AS DOUBLE) / 10 AS vote_average",
-            "CAST(o_orderkey % 17 AS INT) AS vote_count",
-            "o_totalprice / 1000 AS popularity",
-            "CASE WHEN o_orderkey % 89 <> 0 THEN o_orderkey % 97 = 0 END AS adult",
-            "CASE WHEN o_orderkey % 19 = 0 THEN '' WHEN o_orderkey % 29 = 0 THEN '   '"
-            " ELSE concat('about ', o_orderkey) END AS overview",
-            "n_name AS home_language",
-            "NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW') AS has_details",
-            "o_orderpriority = '1-URGENT' OR o_totalprice < 100000 AS is_popular",
-            "o_orderpriority = '2-HIGH' OR o_totalprice > 400000 AS is_trending",
-            "o_orderstatus = 'P' AS is_relisted",
-            "year(o_orderdate) AS listed_year",
+            "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", "o_orderdate", "n_name AS home_nation"
         )
     )
 
 
+def movies(spark: SparkSession, tables: str) -> DataFrame:
+    """One row per movie, dirty on purpose."""
+    return _orders(spark, tables).selectExpr(*_MOVIE, f"{_HAS_DETAILS} AS has_details")
+
+
 def _lines(spark: SparkSession, tables: str) -> DataFrame:
-    lineitem, part, supplier, nation = (
-        _read(spark, tables, t) for t in ("lineitem", "part", "supplier", "nation")
+    """Line items with their part's type. Of the other columns only what documents tell is moved."""
+    lineitem, part = (_read(spark, tables, t) for t in ("lineitem", "part"))
+    told = lineitem.selectExpr(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "CAST(l_shipdate AS TIMESTAMP_NTZ) AS fetched_at",
+        "CAST(floor(l_quantity / 5) AS INT) AS billing", "l_tax > 0 AS is_taxed", "l_returnflag <> 'N' AS is_decided",
+        "l_returnflag = 'R' AS is_returned", "l_linestatus = 'O' AS is_open",
     )
+    return told.join(part, told.l_partkey == part.p_partkey, "left").select(*told.columns, "p_type")
+
+
+def _supplied(spark: SparkSession, tables: str, lines: DataFrame) -> DataFrame:
+    """Line items with the name and nation of their supplier; joined last, so that no exchange moves the names."""
+    supplier, nation = (_read(spark, tables, t) for t in ("supplier", "nation"))
     return (
-        lineitem
-        .join(part, lineitem.l_partkey == part.p_partkey, "left")
-        .join(supplier, lineitem.l_suppkey == supplier.s_suppkey, "left")
+        lines
+        .join(supplier, lines.l_suppkey == supplier.s_suppkey, "left")
         .join(nation, supplier.s_nationkey == nation.n_nationkey, "left")
-        .selectExpr(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag",
-            "l_linestatus", "CAST(l_shipdate AS TIMESTAMP_NTZ) AS fetched_at", "p_type", "s_name",
-            "n_name AS s_nation",
-        )
+        .withColumn("s_nation", F.col("n_name"))
     )
 
 
@@ -94,7 +110,7 @@ def _named(field: str) -> str:
 _FIRST_GENRE = f"named_struct('id', {_genre_id('p_type')}, 'name', p_type)"
 _GENRES = (
     f"array({_FIRST_GENRE}, named_struct('id', CASE WHEN l_linenumber = 7 THEN 99 ELSE l_linenumber END,"
-    f" 'name', concat('slot ', l_linenumber)), CASE WHEN l_tax > 0 THEN {_FIRST_GENRE} END) AS genres"
+    f" 'name', concat('slot ', l_linenumber)), CASE WHEN is_taxed THEN {_FIRST_GENRE} END) AS genres"
 )
 _COMPANIES = (
     "array(named_struct('name', s_name), named_struct('name', concat(s_nation, ' Pictures')),"
@@ -103,34 +119,37 @@ _COMPANIES = (
 _LANGUAGES = "array(named_struct('name', s_nation), named_struct('name', home_language)) AS spoken_languages"
 _CAST = (
     "array(named_struct('name', concat('Person ', l_partkey), 'character', concat('Role ', l_suppkey),"
-    " 'order', CASE WHEN l_tax > 0 THEN l_linenumber - 1 END),"
+    " 'order', CASE WHEN is_taxed THEN l_linenumber - 1 END),"
     " named_struct('name', concat('Extra ', l_suppkey), 'character', CAST(NULL AS STRING),"
-    " 'order', CAST(floor(l_quantity / 5) AS INT))) AS cast"
+    " 'order', billing)) AS cast"
 )
 _CREW = (
     "array(named_struct('name', concat('Person ', l_suppkey),"
-    " 'job', CASE WHEN l_returnflag = 'R' THEN 'Director' ELSE 'Producer' END),"
+    " 'job', CASE WHEN is_returned THEN 'Director' ELSE 'Producer' END),"
     " named_struct('name', concat('Person ', l_partkey),"
-    " 'job', CASE WHEN l_linestatus = 'O' THEN 'Writer' ELSE 'director' END)) AS crew"
+    " 'job', CASE WHEN is_open THEN 'Writer' ELSE 'director' END)) AS crew"
 )
 _NOTHING = "from_json('[]', 'ARRAY<STRING>')"
 
 
 def _per_movie_documents(spark: SparkSession, tables: str) -> DataFrame:
     """``details`` and ``credits`` documents, both from one pass over the joined line items."""
-    detailed = movies(spark, tables).where("has_details")
-    lines = _lines(spark, tables)
+    orders, lines = _orders(spark, tables).where(_HAS_DETAILS), _lines(spark, tables)
+    # Both joins below meet the same orders, whose exchange is used twice. An order without a key has no line items.
+    detailed = orders.where("o_orderkey IS NOT NULL")
     # An inner join, so a movie with very many line items can be split by the skew handling; movies
-    # without any are added by an anti join against the distinct keys.
-    fetched = detailed.join(lines, detailed.id == lines.l_orderkey).selectExpr(
+    # without any are those that find none of the distinct keys.
+    both = detailed.join(lines, detailed.o_orderkey == lines.l_orderkey)
+    fetched = _supplied(spark, tables, both).selectExpr("*", *_MOVIE).selectExpr(
         "id",
         "fetched_at",
-        _payload(*_LIST_FIELDS, "budget", "revenue", "CASE WHEN l_returnflag <> 'N' THEN runtime END AS runtime",
+        _payload(*_LIST_FIELDS, "budget", "revenue", "CASE WHEN is_decided THEN runtime END AS runtime",
                  _GENRES, _COMPANIES, _LANGUAGES) + " AS details",
         _payload("id", _CAST, _CREW) + " AS credits",
     )
     keys = _read(spark, tables, "lineitem").select("l_orderkey").distinct()
-    bare = detailed.join(keys, detailed.id == keys.l_orderkey, "left_anti").selectExpr(
+    lone = detailed.join(keys, detailed.o_orderkey == keys.l_orderkey, "left").where("l_orderkey IS NULL").drop("l_orderkey")
+    bare = lone.unionByName(orders.where("o_orderkey IS NULL")).selectExpr(*_MOVIE).selectExpr(
         "id",
         "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS fetched_at",
         _payload(*_LIST_FIELDS, "budget", "revenue", "runtime", f"{_NOTHING} AS genres",

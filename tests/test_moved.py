@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from stratalake import session
 from stratalake.operators import enforce
+from stratalake.operators.dedup import keep_first, preference
 from stratalake.plans import gold
+from stratalake.plans.growing import RANKED
 from stratalake.schemas import SILVER
-from stratalake.sources import catalogue
+from stratalake.sources import catalogue, published
 
 DAY = datetime(1996, 5, 1)
 TABLES = {
@@ -90,6 +92,19 @@ def test_joins_move_orders_before_texts_are_made(spark, tmp_path):
         spark.conf.set(broadcast, before)
 
 
+def test_a_merge_deals_rows_out_once(spark):
+    rows = published.in_slots(spark.createDataFrame([], RANKED), ("movie_id", 8))
+    best = keep_first(rows, [published.SLOT, "movie_id"], preference("priority"))
+    pairs = published.in_slots(spark.createDataFrame([], SILVER["movie_genres"]), ("movie_id", 8)).distinct()
+    assert [plan_of(df).count("Exchange ") for df in (best, pairs)] == [1, 1]
+
+
+def test_slots_are_parts_of_buckets(spark):
+    slots = published.in_slots(spark.range(1000).toDF("movie_id"), ("movie_id", 8))
+    split = slots.select(published.SLOT, published.bucket_of(F.col("movie_id"), 8).alias("bucket")).distinct().collect()
+    assert len(split) == 8 * published.SLOTS and all(s % 8 == b for s, b in split)
+
+
 def test_keyed_movies_leave_out_what_neither_dimension_nor_fact_has(spark):
     assert "ingested_at" not in gold.keyed_movies(spark.createDataFrame([], SILVER["movies"]), lambda df: df).columns
 
